@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from countcast.columns import DAY, GROUP, LAGS, MEAN_WINDOWS, STDDEV_WINDOWS, TOTAL
+from countcast.functions.dates import day_literal
 from countcast.functions.lookback import KNOWN_DAYS, lagged, mean_of_last, reach, stddev_of_last
 
 
@@ -50,6 +51,11 @@ def expanding_mean(dense: DataFrame, name: str = "mean_so_far") -> DataFrame:
     return dense.withColumn(name, F.avg(TOTAL).over(so_far))
 
 
+def expanding_report(dense: DataFrame, day, name: str = "mean_so_far") -> DataFrame:
+    """Days before ``day`` with their expanding mean, newest first."""
+    return expanding_mean(dense.filter(F.col(DAY) < day_literal(day)), name).orderBy(F.col(DAY).desc(), *GROUP)
+
+
 def last_rows(dense: DataFrame, n: int) -> DataFrame:
     """The latest ``n`` rows of each (mcc, merchant)."""
     newest_first = Window.partitionBy(*GROUP).orderBy(F.col(DAY).desc())

@@ -120,6 +120,18 @@ FROM events
 """
 
 
+def unreadable_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose codes are partly no numbers: each order's first line has a status letter as category,
+    its second a code with a letter."""
+    line = F.col("l_linenumber")
+    code = F.col("l_suppkey").cast("string")
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(line == 2, F.concat(F.lit("S"), code)).otherwise(code).alias("merchant_id"),
+        F.when(line == 1, F.col("l_linestatus")).otherwise(F.lit("5411")).alias("mcc"),
+        F.col("l_shipdate").alias("event_ts"),
+    )
+
+
 def merchant_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Two sources with many rows per merchant: orders with a numeric tax id, finished orders without one."""
     rows = table(spark, sf_dir, "orders").join(
@@ -159,21 +171,23 @@ def merchants_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(segment == "MACHINERY", F.array(F.lit(4816)))
         .otherwise(F.array(F.lit(6300)))
     )
-    no_text = F.lit(None).cast("string")
-
-    def row(code, name, tax_id):
-        return F.struct(code.alias("merchant_id"), name.alias("trade_name"), tax_id.alias("tax_id"))
-
-    rows = F.array_compact(F.array(
-        row(code, name, tax_id),
-        F.when(F.col("c_acctbal") < 0, row(code, no_text, no_text)),
-        F.when(segment == "HOUSEHOLD", row(F.concat(F.lit("X"), code), name, no_text)),
+    # Which rows a customer has: the plain one, a repeated one without name, one with a malformed code.
+    kinds = F.array_compact(F.array(
+        F.lit("plain"),
+        F.when(F.col("c_acctbal") < 0, F.lit("nameless")),
+        F.when(segment == "HOUSEHOLD", F.lit("malformed")),
     ))
+    kind = F.col("kind")
     return (
         table(spark, sf_dir, "customer")
-        .select(F.explode(mccs).alias("mcc"), rows.alias("rows"))
-        .select("mcc", F.explode("rows").alias("row"))
-        .select("row.*", "mcc")
+        .withColumn("mcc", F.explode(mccs))
+        .withColumn("kind", F.explode(kinds))
+        .select(
+            F.when(kind == "malformed", F.concat(F.lit("X"), code)).otherwise(code).alias("merchant_id"),
+            F.when(kind != "nameless", name).alias("trade_name"),
+            F.when(kind == "plain", tax_id).alias("tax_id"),
+            "mcc",
+        )
     )
 
 
