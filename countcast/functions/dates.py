@@ -27,28 +27,28 @@ def day_literal(day: dt.date | str) -> Column:
     return F.lit(as_date(day))
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
-
-
-def calendar_columns(day: Column, holidays: list[str] = HOLIDAYS) -> dict[str, Column]:
-    """The ten calendar features of a date, as ints.
+def calendar_columns(day: str, holidays: list[str] = HOLIDAYS) -> dict[str, Column]:
+    """The ten calendar features of a date column, as ints.
 
     Holidays compare as the number month * 100 + day, which avoids building a string per row.
     """
-    month, dom, dow = F.month(day), F.dayofmonth(day), F.dayofweek(day)
+    def flag(value: str, numbers: list[int]) -> Column:
+        listed = ", ".join(str(n) for n in numbers) or "NULL"
+        return F.expr(f"CASE WHEN {value} IN ({listed}) THEN 1 ELSE 0 END")
+
     holiday_numbers = [int(m) * 100 + int(d) for m, d in (h.split("-") for h in holidays)]
+    day_of_month = f"dayofmonth({day})"
     return {
-        "dow": dow,
+        "dow": F.dayofweek(day),
         "week": F.weekofyear(day),
-        "day_of_month": dom,
-        "month": month,
+        "day_of_month": F.dayofmonth(day),
+        "month": F.month(day),
         "year": F.year(day),
-        "is_weekend": _flag(dow.isin(WEEKEND_DOWS)),
-        "is_holiday": _flag((month * 100 + dom).isin(holiday_numbers)),
-        "is_payday": _flag(dom.isin(PAYDAYS)),
-        "is_month_start": _flag(dom.isin(MONTH_START_DAYS)),
-        "is_month_end": _flag(dom.isin(MONTH_END_DAYS)),
+        "is_weekend": flag(f"dayofweek({day})", WEEKEND_DOWS),
+        "is_holiday": flag(f"month({day}) * 100 + {day_of_month}", holiday_numbers),
+        "is_payday": flag(day_of_month, PAYDAYS),
+        "is_month_start": flag(day_of_month, MONTH_START_DAYS),
+        "is_month_end": flag(day_of_month, MONTH_END_DAYS),
     }
 
 

@@ -14,7 +14,7 @@ MESSAGE_DDL = (
 
 def email_list(emails: Column) -> Column:
     """Pipe-separated addresses as a trimmed array; empty when there are none."""
-    split = F.transform(F.split(emails, "[|]"), F.trim)
+    split = F.transform(F.split(emails, "[|]"), lambda e: F.trim(e))
     return F.when(emails.isNull() | (emails == ""), F.array().cast("array<string>")).otherwise(split)
 
 

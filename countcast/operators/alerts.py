@@ -39,14 +39,13 @@ def alert_charts(alerts: DataFrame, dense: DataFrame, day: dt.date | str, days:
     """Alerts of ``day`` with chart ``labels`` and ``data``: the last days, then the forecast.
 
     ``dense`` has one row per day and merchant, so the last rows are a range of days; that range reaches
-    the scan. All alerts are served by one join, and a chart holds at most ``days`` + 1 points.
+    the scan. A group holds at most ``days`` points, and one join serves all alerts.
     """
     target = day_literal(day)
     recent = (
         dense
         .filter((F.col(DAY) >= F.date_sub(target, days)) & (F.col(DAY) < target))
         .select(*GROUP, DAY, TOTAL)
-        .join(alerts.select(*GROUP), GROUP, "left_semi")
         .groupBy(*GROUP)
         .agg(F.array_sort(F.collect_list(F.struct(DAY, TOTAL))).alias("points"))
     )

@@ -60,28 +60,26 @@ def prediction_rows(daily: DataFrame, day: dt.date | str, holidays: list[str] =
     on the map side: no calendar, no window and no sort. A merchant is present if it has any earlier event.
     """
     target = day_literal(day)
-    age = F.datediff(target, F.col(DAY))
-    none = F.lit(0).cast("bigint")
     offsets = [
-        F.sum(F.when(age == k, F.col(TOTAL)).otherwise(none)).alias(f"ago_{k}")
+        F.expr(f"sum(if(age = {k}, {TOTAL}, 0L))").alias(f"ago_{k}")
         for k in reach(LAGS, MEAN_WINDOWS, STDDEV_WINDOWS)
     ]
     looked_back = (
         daily
         .filter(F.col(DAY) < target)
-        .select(MCC, merchant_number(F.col(MERCHANT)).alias(MERCHANT), DAY, TOTAL)
+        .select(MCC, merchant_number(F.col(MERCHANT)).alias(MERCHANT), F.datediff(target, DAY).alias("age"), TOTAL)
         .filter(F.col(MERCHANT).isNotNull())
         .groupBy(*GROUP)
-        .agg(F.max(age).alias(KNOWN_DAYS), *offsets)
+        .agg(F.max("age").alias(KNOWN_DAYS), *offsets)
     )
-    rows = add_history(looked_back).withColumns({DAY: target, TOTAL: none})
+    rows = add_history(looked_back).withColumns({DAY: target, TOTAL: F.lit(0).cast("bigint")})
     return _finished(rows, holidays)
 
 
 def _finished(rows: DataFrame, holidays: list[str]) -> DataFrame:
     return (
         rows
-        .withColumns(calendar_columns(F.col(DAY), holidays))
+        .withColumns(calendar_columns(DAY, holidays))
         .fillna(0, HISTORY_FEATURES)
         .select(*FEATURE_TABLE)
     )

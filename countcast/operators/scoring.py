@@ -1,9 +1,6 @@
 """Scoring feature rows with one log-linear model per category."""
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countcast.columns import DAY, FEATURES, MCC, PREDICTION_TYPE, UNSCORED_MCCS
@@ -35,23 +32,21 @@ def score(rows: DataFrame, models: DataFrame, names: list[str] = FEATURES) -> Da
     unknown = F.array_except("feature_names", F.array(*[F.lit(n) for n in names]))
     checked = F.when(F.size(unknown) == 0, F.col("intercept")).otherwise(
         F.raise_error(F.concat(F.lit("unknown model features: "), F.array_join(unknown, ", "))).cast("double"))
-    weights = eligible_models(models).select(
-        MCC, checked.alias("b_intercept"), *[_coefficient(n).alias(f"b_{n}") for n in names])
-    linear = reduce(add, [F.col(f"b_{n}") * F.col(n) for n in names], F.col("b_intercept"))
+    weights = (
+        eligible_models(models)
+        .withColumn("weight", F.map_from_arrays("feature_names", "coefs"))
+        .select(MCC, checked.alias("b_intercept"), *[F.expr(f"coalesce(weight['{n}'], 0D)").alias(f"b_{n}") for n in names])
+    )
+    linear = " + ".join(["b_intercept", *[f"b_{n} * {n}" for n in names]])
     return (
         rows
         .join(weights, MCC)
-        .withColumn("expected", F.exp(linear))
+        .withColumn("expected", F.exp(F.expr(linear)))
         .withColumn("prediction", F.col("expected").try_cast(PREDICTION_TYPE))
         .drop(*[f"b_{n}" for n in ["intercept", *names]])
     )
 
 
-def _coefficient(name: str) -> Column:
-    position = F.array_position("feature_names", F.lit(name))
-    return F.when(position > 0, F.element_at("coefs", F.greatest(position, F.lit(1)).cast("int"))).otherwise(0.0)
-
-
 def usable(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("prediction").isNotNull())
 

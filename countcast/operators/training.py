@@ -13,8 +13,6 @@ No step gathers the rows of a category in one place, so a category may hold any
 
 import sys
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -91,7 +89,7 @@ def _start(rows: DataFrame, names: list[str], ridge: float) -> DataFrame:
 
 def _step(rows: DataFrame, state: DataFrame, names: list[str], power: float, ridge: float) -> DataFrame:
     coefs = state.select("group", *[F.col("raw")[i].alias(f"b_{i}") for i in range(len(names) + 1)])
-    linear = reduce(add, [F.col(f"b_{i + 1}") * F.col(n) for i, n in enumerate(names)], F.col("b_0"))
+    linear = F.expr(" + ".join(["b_0", *[f"b_{i} * {n}" for i, n in enumerate(names, 1)]]))
     mean = F.exp("linear")
     weighted = (
         rows

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -19,8 +20,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str = "stored") -> DataFrame:
-    """``df`` written once to the shared folder and read back, so that later passes only scan it."""
+def stored(df: DataFrame, name: str = "stored", *partitions: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that later passes only scan it.
+
+    With partition columns the rows are rebalanced first, which keeps the number of files low and
+    splits a partition that is far larger than the others over several tasks.
+    """
     path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if partitions:
+        df.hint("rebalance", *[F.col(c) for c in partitions]).write.partitionBy(*partitions).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countcast.columns import MODEL_SCHEMA
-from countcast.functions.dates import day_literal
 
 SHIPPING_DAY = "2001-06-30"
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -87,12 +86,6 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 """
 
 
-def in_year(raw: DataFrame, year: int) -> DataFrame:
-    """The events of one year, as a range that reaches the scan."""
-    return raw.filter(
-        (F.col("event_ts") >= day_literal(f"{year}-01-01")) & (F.col("event_ts") < day_literal(f"{year + 1}-01-01")))
-
-
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Denied events over 30 days: merchant = user, category = event type."""
     kind = F.col("event_type")

@@ -31,7 +31,7 @@ from countcast.operators.training import POISSON_POWER, fit_count_models
 from countcast.operators.trees import fit_pooled_trees, score_trees
 from countcast.sinks.scratch import scratch_folder, stored
 from countcast.sinks.tables import write_by_category
-from countcast.sources.shards import shards, union_shards
+from countcast.sources.shards import Shard, shards, union_shards
 from countcast.sources.tables import read_daily
 from workload import fixtures as fx
 
@@ -40,9 +40,14 @@ SAMPLE_ABOVE_ROWS = 20_000
 TREE_ROUNDS = 5
 
 
+def _rounded(name: str):
+    """To 6 places, half away from zero, in double arithmetic: F.round goes through decimals, which is slow."""
+    return F.expr(f"signum({name}) * floor(abs({name}) * 1e6D + 0.5D) / 1e6D")
+
+
 def _shown(df: DataFrame) -> DataFrame:
     """Days as text and fractions rounded."""
-    shape = {"date": lambda c: F.col(c).cast("string"), "double": lambda c: F.round(c, 6)}
+    shape = {"date": lambda c: F.col(c).cast("string"), "double": _rounded}
     return df.select(*[
         shape[kind](name).alias(name) if kind in shape else F.col(name)
         for name, kind in df.dtypes
@@ -68,16 +73,24 @@ def clean_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.transactions_raw(spark, sf_dir)
+    tables = _year_tables(fx.transactions_raw(spark, sf_dir))
     found = shards(range(fx.FIRST_YEAR, fx.LAST_YEAR + 1), doubled_from=fx.DOUBLED_FROM_YEAR)
-    union = union_shards(found, lambda s: fx.in_year(raw, s.year).filter(F.col("shard") == s.part))
-    return _shown(daily_counts(union))
+    return _shown(daily_counts(union_shards(found, lambda s: _year_table(tables, s))))
 
 
 def year_shard_union_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.denied_raw(spark, sf_dir)
-    union = union_shards(shards(range(fx.FIRST_YEAR, fx.LAST_YEAR + 1)), lambda s: fx.in_year(raw, s.year))
-    return _shown(daily_counts(union))
+    tables = _year_tables(fx.denied_raw(spark, sf_dir).withColumn("shard", F.lit(1)))
+    found = shards(range(fx.FIRST_YEAR, fx.LAST_YEAR + 1))
+    return _shown(daily_counts(union_shards(found, lambda s: _year_table(tables, s))))
+
+
+def _year_tables(raw: DataFrame) -> DataFrame:
+    """The events stored once as one table per year and shard, as the operator expects to find them."""
+    return stored(raw.withColumn("year", F.year("event_ts")), "years", "year", "shard")
+
+
+def _year_table(tables: DataFrame, shard: Shard) -> DataFrame:
+    return tables.filter((F.col("year") == shard.year) & (F.col("shard") == shard.part))
 
 
 def rejected_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +120,7 @@ def dense_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_day = _shipping_daily(spark, sf_dir).groupBy("day").agg(F.sum(TOTAL).alias(TOTAL))
-    return _shown(per_day.withColumns(calendar_columns(F.col("day"))))
+    return _shown(per_day.withColumns(calendar_columns("day")))
 
 
 def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +252,7 @@ def training_category_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sampled_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY)
+    dense = stored(dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY), "dense", "mcc")
     kept = thin_large_categories(dense, threshold=SAMPLE_ABOVE_ROWS)
     return kept.groupBy("mcc", "merchant_id").agg(
         F.count(F.lit(1)).alias("kept_rows"), F.sum(TOTAL).alias("kept_total"))
