@@ -41,7 +41,8 @@ def message_json(to: Column, code: Column, prediction: Column, name: Column, tax
 
 
 def encode_message(json_text: Column) -> Column:
-    return F.base64(json_text.cast("binary"))
+    """Base64 on a single line; Spark breaks lines after 76 characters."""
+    return F.translate(F.base64(json_text.cast("binary")), "\r\n", "")
 
 
 def decode_message(encoded: Column) -> Column:

@@ -16,7 +16,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def mismatch(spark, con, query, sql: str, sf_dir: str) -> str | None:
     """None when both give the same columns, types and rows; else a short description."""
     got_table = query(spark, sf_dir).toArrow()
-    want_table = con.execute(sql).to_arrow_table()
+    want_table = con.sql(sql).to_arrow_table()
     names = sorted(got_table.column_names)
     if names != sorted(want_table.column_names):
         return f"columns {names} != {sorted(want_table.column_names)}"
