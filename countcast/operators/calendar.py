@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from countcast.columns import DAY, GROUP, MCC, MERCHANT, TOTAL
 from countcast.functions.codes import merchant_number
 from countcast.functions.dates import as_date, day_literal
-from countcast.operators.counts import keyed_by_number
+from countcast.operators.counts import keyed_by_number, placed_by_group
 
 
 def dense_calendar(daily: DataFrame, until: dt.date | str) -> DataFrame:
@@ -43,7 +43,7 @@ def recent_calendar(daily: DataFrame, start: dt.date | str, until: dt.date | str
         .groupBy(MCC, MERCHANT, DAY)
         .agg(F.sum(TOTAL).alias(TOTAL))
     )
-    return _stretch(folded, until).filter(F.col(DAY) >= day_literal(start))
+    return _stretch(placed_by_group(folded), until).filter(F.col(DAY) >= day_literal(start))
 
 
 def _stretch(counts: DataFrame, until: dt.date | str) -> DataFrame:

@@ -36,7 +36,7 @@ def clean_events(raw: DataFrame, code: str = MERCHANT, mcc: str = MCC, ts: str =
     """
     return (
         _normalised(raw, code, mcc, ts)
-        .filter(_reject_reason().isNull())
+        .filter(F.col(DAY).isNotNull() & F.col(MCC).isNotNull() & merchant_number(F.col(MERCHANT)).isNotNull())
         .select(MERCHANT, DAY, MCC)
     )
 
@@ -70,22 +70,31 @@ def keyed_by_number(daily: DataFrame, until: dt.date | str | None = None) -> Dat
 
     Codes that differ only in leading zeros become one merchant, so their days are summed.
     The rows are placed by (mcc, merchant) first; both this sum and every later window
-    use that placement, so the counts shuffle once. The number of partitions is the
-    session's own: merging small ones by their size now would be wrong, since the
-    calendar makes many rows of each.
+    use that placement, so the counts shuffle once.
     """
-    partitions = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = daily if until is None else daily.filter(F.col(DAY) <= day_literal(until))
-    return (
+    numbered = (
         counts
         .select(MCC, merchant_number(F.col(MERCHANT)).alias(MERCHANT), DAY, TOTAL)
         .filter(F.col(MERCHANT).isNotNull() & F.col(DAY).isNotNull())
-        .repartition(partitions, MCC, MERCHANT)
+    )
+    return (
+        placed_by_group(numbered)
         .groupBy(MCC, MERCHANT, DAY)
         .agg(F.sum(TOTAL).alias(TOTAL))
     )
 
 
+def placed_by_group(rows: DataFrame) -> DataFrame:
+    """Rows placed by (mcc, merchant) over the session's number of shuffle partitions.
+
+    The number is given, since adaptive execution would otherwise merge partitions by their size now:
+    the calendar makes many rows of each, and a few tasks would get them all.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, MCC, MERCHANT)
+
+
 def first_seen(daily: DataFrame) -> DataFrame:
     """First day with an event per (mcc, merchant)."""
     return daily.groupBy(MCC, MERCHANT).agg(F.min(DAY).alias("first_day"))

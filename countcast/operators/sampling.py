@@ -26,7 +26,8 @@ def thin_large_categories(features: DataFrame, threshold: int = LARGE_CATEGORY_R
     sizes = category_rows(features)
     digest = F.md5(F.concat_ws("|", MCC, MERCHANT, F.col(DAY).cast("string"), F.lit(seed)).cast("binary"))
     limit = f"{int(share * 2**32):08x}"
-    large = sizes.filter(F.col("n_rows") >= threshold)
+    # At most one row per ``threshold`` rows of the table, so it is always small enough to broadcast.
+    large = F.broadcast(sizes.filter(F.col("n_rows") >= threshold))
     return (
         features
         .join(large, MCC, "left")

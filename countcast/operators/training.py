@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,9 +68,10 @@ def fit_count_models(features: DataFrame, names: list[str] = LINEAR_FEATURES, po
         group.alias("group"), F.col(TOTAL).cast("double").alias("y"), *[F.col(n).cast("double").alias(n) for n in names])
     state = stored(_start(rows, names, ridge))
     for _ in range(max_steps):
-        state = stored(_step(rows, state, names, power, ridge))
-        largest = state.agg(F.max("change")).first()[0]
-        if largest is None or largest < tolerance:
+        # The change is observed while the step is written, which saves a pass over the new state.
+        seen = Observation()
+        state = stored(_step(rows, state, names, power, ridge).observe(seen, F.max("change").alias("largest")))
+        if (seen.get["largest"] or 0.0) < tolerance:
             break
     return _model_table(state, features, names, pooled)
 

@@ -7,7 +7,6 @@ Each input exists twice: as a Spark DataFrame and as SQL text for the checking e
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.columns import MODEL_SCHEMA
 
 SHIPPING_DAY = "2001-06-30"
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -223,8 +222,12 @@ FROM nation
 
 
 def fixed_models(spark: SparkSession) -> DataFrame:
-    rows = [(mcc, ["ma_7", "lag_1"], [ma_7, lag_1], b0, 0) for mcc, b0, ma_7, lag_1 in MODELS]
-    return spark.createDataFrame(rows, MODEL_SCHEMA)
+    """The model table of ``MODELS``, as a local relation whose size Spark knows."""
+    return spark.sql(f"""
+        SELECT mcc, array('ma_7', 'lag_1') AS feature_names,
+               array(CAST(b_ma7 AS DOUBLE), CAST(b_lag1 AS DOUBLE)) AS coefs,
+               CAST(b0 AS DOUBLE) AS intercept, 0L AS n_rows
+        FROM VALUES {", ".join(str(m) for m in MODELS)} AS t(mcc, b0, b_ma7, b_lag1)""")
 
 
 MODELS_SQL = """

@@ -5,6 +5,7 @@ integers that may be NULL as text.
 """
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,7 +100,7 @@ def rejected_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{scratch_folder(spark)}/daily_counts_roundtrip"
+    path = f"{scratch_folder(spark)}/roundtrip-{uuid.uuid4().hex}"
     write_by_category(_shipping_daily(spark, sf_dir), path)
     return _shown(read_daily(spark, path))
 
