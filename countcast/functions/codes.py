@@ -1,30 +1,34 @@
-"""Normalisers for merchant, category and tax codes."""
+"""Normalisers for merchant, category and tax codes, given a column name."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def code_text(code: Column) -> Column:
+def _trimmed(name: str) -> str:
+    return f"trim(CAST({name} AS STRING))"
+
+
+def code_text(name: str) -> Column:
     """Merchant code without surrounding blanks."""
-    return F.trim(code.cast("string"))
+    return F.expr(_trimmed(name))
 
 
-def mcc_number(code: Column) -> Column:
+def mcc_number(name: str) -> Column:
     """Category code as int: -1 when missing or blank, NULL when it is no number."""
-    text = code_text(code)
-    return F.when(text.isNull() | (text == ""), F.lit(-1)).otherwise(text.try_cast("int"))
+    text = _trimmed(name)
+    return F.expr(f"CASE WHEN coalesce({text}, '') = '' THEN -1 ELSE try_cast({text} AS INT) END")
 
 
-def merchant_number(code: Column) -> Column:
+def merchant_number(name: str) -> Column:
     """Merchant code as bigint, NULL when it is no number."""
-    return code_text(code).try_cast("bigint")
+    return F.expr(f"try_cast({_trimmed(name)} AS BIGINT)")
 
 
-def tax_id_text(value: Column) -> Column:
+def tax_id_text(name: str) -> Column:
     """Numeric tax id, often stored as a float, as text of up to 11 digits."""
-    return value.try_cast("decimal(11,0)").cast("string")
+    return F.expr(f"CAST(try_cast({name} AS DECIMAL(11,0)) AS STRING)")
 
 
-def event_day(ts: Column, is_text: bool = False) -> Column:
+def event_day(name: str, is_text: bool = False) -> Column:
     """Calendar day of an event; unreadable text gives NULL."""
-    return F.try_to_date(ts) if is_text else F.to_date(ts)
+    return F.expr(f"try_to_date({name})" if is_text else f"to_date({name})")

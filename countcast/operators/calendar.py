@@ -35,7 +35,7 @@ def recent_calendar(daily: DataFrame, start: dt.date | str, until: dt.date | str
         .filter(F.col(DAY) <= day_literal(until))
         .select(
             MCC,
-            merchant_number(F.col(MERCHANT)).alias(MERCHANT),
+            merchant_number(MERCHANT).alias(MERCHANT),
             F.when(is_old, day_literal(before)).otherwise(F.col(DAY)).alias(DAY),
             F.when(is_old, F.lit(0).cast("bigint")).otherwise(F.col(TOTAL)).alias(TOTAL),
         )

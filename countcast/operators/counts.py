@@ -14,15 +14,15 @@ from countcast.functions.dates import day_literal
 def _normalised(raw: DataFrame, code: str, mcc: str, ts: str) -> DataFrame:
     is_text = isinstance(raw.schema[ts].dataType, T.StringType)
     return raw.withColumns({
-        MERCHANT: code_text(F.col(code)),
-        DAY: event_day(F.col(ts), is_text),
-        MCC: mcc_number(F.col(mcc)),
+        MERCHANT: code_text(code),
+        DAY: event_day(ts, is_text),
+        MCC: mcc_number(mcc),
     }).filter(F.col(MERCHANT) != "0")
 
 
 def _reject_reason():
     return (
-        F.when(merchant_number(F.col(MERCHANT)).isNull(), "merchant code is not a number")
+        F.when(merchant_number(MERCHANT).isNull(), "merchant code is not a number")
         .when(F.col(MCC).isNull(), "category code is not a number")
         .when(F.col(DAY).isNull(), "no event day")
     )
@@ -36,7 +36,7 @@ def clean_events(raw: DataFrame, code: str = MERCHANT, mcc: str = MCC, ts: str =
     """
     return (
         _normalised(raw, code, mcc, ts)
-        .filter(F.col(DAY).isNotNull() & F.col(MCC).isNotNull() & merchant_number(F.col(MERCHANT)).isNotNull())
+        .filter(F.col(DAY).isNotNull() & F.col(MCC).isNotNull() & merchant_number(MERCHANT).isNotNull())
         .select(MERCHANT, DAY, MCC)
     )
 
@@ -75,7 +75,7 @@ def keyed_by_number(daily: DataFrame, until: dt.date | str | None = None) -> Dat
     counts = daily if until is None else daily.filter(F.col(DAY) <= day_literal(until))
     numbered = (
         counts
-        .select(MCC, merchant_number(F.col(MERCHANT)).alias(MERCHANT), DAY, TOTAL)
+        .select(MCC, merchant_number(MERCHANT).alias(MERCHANT), DAY, TOTAL)
         .filter(F.col(MERCHANT).isNotNull() & F.col(DAY).isNotNull())
     )
     return (

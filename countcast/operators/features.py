@@ -67,7 +67,7 @@ def prediction_rows(daily: DataFrame, day: dt.date | str, holidays: list[str] =
     looked_back = (
         daily
         .filter(F.col(DAY) < target)
-        .select(MCC, merchant_number(F.col(MERCHANT)).alias(MERCHANT), F.datediff(target, DAY).alias("age"), TOTAL)
+        .select(MCC, merchant_number(MERCHANT).alias(MERCHANT), F.datediff(target, DAY).alias("age"), TOTAL)
         .filter(F.col(MERCHANT).isNotNull())
         .groupBy(*GROUP)
         .agg(F.max("age").alias(KNOWN_DAYS), *offsets)

@@ -22,15 +22,14 @@ def with_history(dense: DataFrame, lags=LAGS, means=MEAN_WINDOWS, stddevs=STDDEV
     arithmetic on the offsets; sliding frames would visit every day of the window again for every row.
     ``ratio`` adds lag_1 over the weekly mean.
     """
-    w = by_day()
+    w = f"(PARTITION BY {', '.join(GROUP)} ORDER BY {DAY})"
     all_means = sorted({*means, *stddevs})
-    running = {}
     if all_means:
-        before = F.sum(TOTAL).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        dense = dense.withColumn("before", F.coalesce(before, F.lit(0)))
-        running = {f"before_{n}": F.lag("before", n, 0).over(w) for n in all_means}
-    offsets = {f"ago_{k}": F.lag(TOTAL, k, 0).over(w) for k in reach(lags, (), stddevs)}
-    known = {KNOWN_DAYS: F.row_number().over(w) - 1}
+        so_far = f"(PARTITION BY {', '.join(GROUP)} ORDER BY {DAY} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        dense = dense.withColumn("before", F.expr(f"coalesce(sum({TOTAL}) OVER {so_far}, 0L)"))
+    running = {f"before_{n}": F.expr(f"lag(before, {n}, 0L) OVER {w}") for n in all_means}
+    offsets = {f"ago_{k}": F.expr(f"lag({TOTAL}, {k}, 0L) OVER {w}") for k in reach(lags, (), stddevs)}
+    known = {KNOWN_DAYS: F.expr(f"row_number() OVER {w} - 1")}
     looked_back = dense.withColumns({**offsets, **running, **known})
     return (
         add_history(looked_back, lags, means, stddevs, ratio, running_mean_of_last)

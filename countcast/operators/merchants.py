@@ -20,13 +20,13 @@ def merchant_attributes(sources: list[DataFrame]) -> DataFrame:
     A source holds merchant_id, mcc, trade_name and event_ts; its numeric tax_id is optional.
     """
     def projected(source: DataFrame) -> DataFrame:
-        tax_id = tax_id_text(F.col("tax_id")) if "tax_id" in source.columns else F.lit(None).cast("string")
+        tax_id = tax_id_text("tax_id") if "tax_id" in source.columns else F.lit(None).cast("string")
         return source.select(
-            code_text(F.col(MERCHANT)).alias(MERCHANT),
+            code_text(MERCHANT).alias(MERCHANT),
             tax_id.alias("tax_id"),
             F.col(MCC).try_cast("int").alias(MCC),
             F.coalesce("trade_name", F.lit(NO_NAME)).alias("trade_name"),
-            event_day(F.col("event_ts")).alias("day"),
+            event_day("event_ts").alias("day"),
         )
 
     return reduce(DataFrame.unionByName, [projected(s) for s in sources])
@@ -73,7 +73,7 @@ def scoring_merchants(master: DataFrame, accounts: DataFrame, models: DataFrame)
     """
     numbered = (
         master
-        .select(MCC, merchant_number(F.col(MERCHANT)).alias(MERCHANT), "trade_name", "tax_id")
+        .select(MCC, merchant_number(MERCHANT).alias(MERCHANT), "trade_name", "tax_id")
         .filter(F.col(MERCHANT).isNotNull())
         .join(eligible_models(models).select(MCC).distinct(), MCC, "left_semi")
     )

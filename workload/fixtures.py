@@ -33,18 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     suppliers = table(spark, sf_dir, "supplier")
-    mcc = (
-        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
-        .when(F.col("l_linenumber") == 6, F.lit("  "))
-        .otherwise(F.concat(F.lit(" "), F.col("s_nationkey").cast("string"), F.lit(" ")))
-    )
-    return lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).select(
-        F.concat(F.lit(" "), F.col("l_suppkey").cast("string"), F.lit(" ")).alias("merchant_id"),
-        mcc.alias("mcc"),
-        F.col("l_shipdate").alias("event_ts"),
-        "l_returnflag",
-        "l_orderkey",
-    )
+    return lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).selectExpr(
+        "' ' || CAST(l_suppkey AS STRING) || ' ' AS merchant_id",
+        """CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN '  '
+                ELSE ' ' || CAST(s_nationkey AS STRING) || ' ' END AS mcc""",
+        "l_shipdate AS event_ts", "l_returnflag", "l_orderkey")
 
 
 def denied_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,17 +80,11 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Denied events over 30 days: merchant = user, category = event type."""
-    kind = F.col("event_type")
-    mcc = (
-        F.when(kind == "view", " 6300 ").when(kind == "click", "4816")
-        .when(kind == "purchase", "5411").when(kind == "error", "0")
-        .when(F.col("event_id") % 2 == 0, "  ")
-    )
-    return table(spark, sf_dir, "events").select(
-        F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit(" ")).alias("merchant_id"),
-        mcc.alias("mcc"),
-        F.col("ts").alias("event_ts"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(
+        "' ' || CAST(user_id AS STRING) || ' ' AS merchant_id",
+        """CASE event_type WHEN 'view' THEN ' 6300 ' WHEN 'click' THEN '4816' WHEN 'purchase' THEN '5411'
+                WHEN 'error' THEN '0' ELSE CASE WHEN event_id % 2 = 0 THEN '  ' END END AS mcc""",
+        "ts AS event_ts")
 
 
 EVENTS_RAW_SQL = """

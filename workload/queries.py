@@ -41,18 +41,16 @@ SAMPLE_ABOVE_ROWS = 20_000
 TREE_ROUNDS = 5
 
 
-def _rounded(name: str):
-    """To 6 places, half away from zero, in double arithmetic: F.round goes through decimals, which is slow."""
-    return F.expr(f"signum({name}) * floor(abs({name}) * 1e6D + 0.5D) / 1e6D")
-
-
 def _shown(df: DataFrame) -> DataFrame:
-    """Days as text and fractions rounded."""
-    shape = {"date": lambda c: F.col(c).cast("string"), "double": _rounded}
-    return df.select(*[
-        shape[kind](name).alias(name) if kind in shape else F.col(name)
-        for name, kind in df.dtypes
-    ])
+    """Days as text, and fractions rounded to 6 places, half away from zero.
+
+    Rounds in double arithmetic, since round() on doubles goes through decimals, which is slow.
+    """
+    shape = {
+        "date": "CAST({0} AS STRING) AS {0}",
+        "double": "signum({0}) * floor(abs({0}) * 1e6D + 0.5D) / 1e6D AS {0}",
+    }
+    return df.selectExpr(*[shape.get(kind, "{0}").format(name) for name, kind in df.dtypes])
 
 
 def _text(df: DataFrame, *columns: str) -> DataFrame:
@@ -253,7 +251,7 @@ def training_category_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sampled_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = stored(dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY), "dense", "mcc")
+    dense = stored(dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY), "dense")
     kept = thin_large_categories(dense, threshold=SAMPLE_ABOVE_ROWS)
     return kept.groupBy("mcc", "merchant_id").agg(
         F.count(F.lit(1)).alias("kept_rows"), F.sum(TOTAL).alias("kept_total"))
