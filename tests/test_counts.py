@@ -1,6 +1,7 @@
 from countcast.operators.counts import (
     clean_events, counted, daily_counts, first_seen, keyed_by_number, rejected_events,
 )
+from countcast.sources.shards import Shard, union_shards
 from tests.helpers import RAW_DDL, d, daily, rows_of, ts
 
 
@@ -39,6 +40,13 @@ def test_codes_with_leading_zeros_are_one_merchant(spark):
     assert rows_of(keyed_by_number(df, "2024-01-31")) == {(1, 7, d("2024-01-01"), 5): 1}
 
 
+def test_a_day_in_two_shards_gives_one_count(spark):
+    day = ts("2024-12-31")
+    frames = {y: spark.createDataFrame([("7", "1", day)] * n, RAW_DDL) for y, n in [(2024, 2), (2025, 3)]}
+    union = union_shards([Shard(2024), Shard(2025)], lambda s: frames[s.year])
+    assert rows_of(daily_counts(union)) == {("7", d("2024-12-31"), 1, 5): 1}
+
+
 def test_first_seen(spark):
     df = daily(spark, ("7", "2024-01-02", 2, 1), ("7", "2024-01-01", 3, 1), ("7", "2024-01-05", 3, 2))
     assert rows_of(first_seen(df)) == {(1, "7", d("2024-01-01")): 1, (2, "7", d("2024-01-05")): 1}
