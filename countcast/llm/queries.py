@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.llm import mixing, packing, wavelet
-from countcast.llm.common import read_documents, shuffle_partitions, words_in
+from countcast.llm import minhash, mixing, neighbours, packing, wavelet
+from countcast.llm.common import read_documents, read_table, shuffle_partitions, words_in
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = wavelet.write_shards(read_documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
                                   4 * shuffle_partitions(spark))
@@ -26,6 +34,8 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
+    "op4_nearest": op4_nearest,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_wavelet": op10_wavelet,
 }
 ORACLE: dict[str, str] = {}
