@@ -132,9 +132,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at += 1
                 keys = band_keys(signatures([shingles(w) for w in words]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, at - begin), pa.array([content_key(w) for w in words]),
+                    [batch.column(0).slice(begin, at - begin), batch.column(2).slice(begin, at - begin), pa.array([content_key(w) for w in words]),
                      pa.array([len(w) for w in words], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))],
-                    names=["doc_id", "content", "n_words", "bands"])
+                    names=["doc_id", "text_key", "content", "n_words", "bands"])
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -257,7 +257,8 @@ def _last_pairs(live: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFra
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` (the smallest id of its class), ``class_size``, ``content``.
+    """One row per document: ``doc_id``, ``class_id`` (the smallest id of its class), ``class_size``, ``class_key`` (tells classes apart
+    whose ids are equal or NULL) and ``text_key`` (Spark's xxhash64 of the text).
 
     Two documents are linked if the weighted Jaccard similarity of their five-word shingles (lower case, words between white space) is
     0.8 or more; classes are what links connect. Texts of the same words are one node from the start, so copies cost one signature
@@ -269,8 +270,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Empty and NULL texts have no words: they form one class of copies. NULL ids are documents of their own; a class of NULL ids only has a NULL
     id. Repeated rows are copies. An empty table gives no rows.
     """
-    signed = stored(docs.select("doc_id", "text").mapInArrow(
-        _sign, "doc_id long, content string, n_words long, bands array<long>"), "near-signed")
+    signed = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        _sign, "doc_id long, text_key long, content string, n_words long, bands array<long>"), "near-signed")
     nodes = stored(
         signed.groupBy("content")
         .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands"))
@@ -286,7 +287,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     of_class = named.groupBy("group").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
     return (
-        signed.select("doc_id", "content")
+        signed.select("doc_id", "text_key", "content")
         .join(named.select("content", "group").join(of_class, "group"), "content")
-        .select("doc_id", "class_id", "class_size", "content")
+        .select("doc_id", "class_id", "class_size", F.col("group").alias("class_key"), "text_key")
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class: the smallest id (NULL only if the class has no other), and of several rows
+    with that id the one whose text has the smallest hash. All columns are kept."""
+    found = stored(near_duplicates(docs).select("doc_id", "class_key", "text_key"), "near-classes")
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    chosen = (
+        found.groupBy("class_key").agg(F.min(key).alias("kept"))
+        .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_key").alias("kept_key"))
+    )
+    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key"))).drop("kept_id")
+    if not found.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():  # rows repeated in full
+        kept = kept.withColumn("kept_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["kept_id", "kept_key"]).drop("kept_id")
+    return kept.select(*docs.columns)

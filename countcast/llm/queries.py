@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.llm import minhash, mixing, neighbours, packing, wavelet
+from countcast.llm import minhash, mixing, neighbours, packing, templates, toxicity, wavelet
 from countcast.llm.common import read_documents, read_table, shuffle_partitions, words_in
 
 
@@ -21,6 +21,21 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir, "doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    terms, weights = toxicity.fit(toxicity.labelled_documents(docs.filter(~held_out), read_table(spark, sf_dir, "labels")))
+    return (
+        toxicity.score(docs, terms, weights, "doc_id")
+        .select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+    )
+
+
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.drop_recurring(read_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_documents(spark, sf_dir, "doc_id", "text"))
 
@@ -35,7 +50,8 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
     "op4_nearest": op4_nearest,
+    "op5_toxicity": op5_toxicity,
+    "op7_line_templates": op7_line_templates,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_wavelet": op10_wavelet,
 }
-ORACLE: dict[str, str] = {}
