@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.llm import minhash, mixing, neighbours, packing, templates, toxicity, wavelet
+from countcast.llm import minhash, mixing, neighbours, packing, pages, phrases, templates, toxicity, wavelet
 from countcast.llm.common import read_documents, read_table, shuffle_partitions, words_in
 
 
@@ -32,10 +32,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.drop_recurring(read_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op8_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprint_documents(read_documents(spark, sf_dir, "doc_id", "text"), 2 * shuffle_partitions(spark))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_documents(spark, sf_dir, "doc_id", "text"))
 
@@ -51,7 +59,9 @@ QUERIES = {
     "op2_pack": op2_pack,
     "op4_nearest": op4_nearest,
     "op5_toxicity": op5_toxicity,
+    "op6_pages": op6_pages,
     "op7_line_templates": op7_line_templates,
+    "op8_phrases": op8_phrases,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_wavelet": op10_wavelet,
 }
