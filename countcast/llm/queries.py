@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.llm import minhash, mixing, neighbours, packing, pages, phrases, templates, toxicity, wavelet
+from countcast.llm import context_tree, minhash, mixing, neighbours, packing, pages, phrases, templates, toxicity, wavelet
 from countcast.llm.common import read_documents, read_table, shuffle_partitions, words_in
 
 
@@ -17,6 +17,11 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
+    return context_tree.score(read_documents(spark, sf_dir, "doc_id", "text").withColumn("held_out", held_out))
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -57,6 +62,7 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
+    "op3_context_tree": op3_context_tree,
     "op4_nearest": op4_nearest,
     "op5_toxicity": op5_toxicity,
     "op6_pages": op6_pages,
