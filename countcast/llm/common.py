@@ -1,6 +1,7 @@
 """Small helpers shared by the operators of this subpackage."""
 
 import math
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,11 +10,19 @@ from countcast.sinks.scratch import stored
 
 __all__ = ["blocks_for", "read_documents", "read_table", "shuffle_partitions", "stored", "words_in"]
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 # Fixed value: what separates words (space, tab, line feed, vertical tab, form feed, carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Python workers that start from now on find this package where the driver has it; on a cluster
+    without a shared copy, install it on the executors."""
+    settings = spark.sparkContext.environment
+    places = settings.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in places:
+        settings["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, places)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
