@@ -53,6 +53,10 @@ _STATE = T.StructType([
 ])
 
 
+class NotConvergedError(RuntimeError):
+    """A fit that did not settle; its coefficients are no solution."""
+
+
 def fit_count_models(features: DataFrame, names: list[str] = LINEAR_FEATURES, power: float = TWEEDIE_POWER,
                      ridge: float = RIDGE, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE,
                      pooled: bool = False) -> DataFrame:
@@ -61,7 +65,8 @@ def fit_count_models(features: DataFrame, names: list[str] = LINEAR_FEATURES, po
     ``features`` is scanned once per step, so pass a stored table. ``pooled`` fits one model on all rows
     and gives it to every category. The coefficients pass from step to step as a small stored table: its
     known size lets Spark broadcast it to the rows, and shuffle instead if it ever grew too large.
-    The only value that reaches the driver is the largest change of a step.
+    The only value that reaches the driver is the largest change of a step. Raises ``NotConvergedError`` when
+    coefficients still change by ``tolerance`` or more after ``max_steps``, or the change is not a number.
     """
     group = F.lit(0) if pooled else F.col(MCC)
     rows = features.select(
@@ -71,8 +76,11 @@ def fit_count_models(features: DataFrame, names: list[str] = LINEAR_FEATURES, po
         # The change is observed while the step is written, which saves a pass over the new state.
         seen = Observation()
         state = stored(_step(rows, state, names, power, ridge).observe(seen, F.max("change").alias("largest")))
-        if (seen.get["largest"] or 0.0) < tolerance:
+        largest = seen.get["largest"]
+        if rows.isEmpty() or largest is not None and largest < tolerance:
             break
+    else:
+        raise NotConvergedError(f"coefficients still change by {largest} after {max_steps} steps")
     return _model_table(state, features, names, pooled)
 
 

@@ -8,12 +8,18 @@ from countcast.functions.dates import HOLIDAYS
 from countcast.operators.alerts import prediction_table, with_merchant
 from countcast.operators.backtest import forecast_range
 from countcast.operators.merchants import scoring_merchants
+from countcast.operators.scoring import unusable, usable
+from countcast.sinks.scratch import stored
 from countcast.sinks.tables import write_by_day
 
 
 def backfill(daily: DataFrame, models: DataFrame, merchants: DataFrame, accounts: DataFrame,
-             start: dt.date | str, end: dt.date | str, folder: str, holidays: list[str] = HOLIDAYS) -> None:
-    """Forecasts every day in [start, end] in one job; days already stored are replaced."""
-    forecasts = forecast_range(daily, models, start, end, holidays)
+             start: dt.date | str, end: dt.date | str, folder: str, holidays: list[str] = HOLIDAYS) -> DataFrame:
+    """Forecasts every day in [start, end] in one job; days already stored are replaced.
+
+    Returns the forecasts that are too large to store, with the reason.
+    """
+    forecasts = stored(forecast_range(daily, models, start, end, holidays), "backfill")
     known = scoring_merchants(merchants, accounts, models)
-    write_by_day(prediction_table(with_merchant(forecasts, known)), f"{folder}/predictions")
+    write_by_day(prediction_table(with_merchant(usable(forecasts), known)), f"{folder}/predictions")
+    return unusable(forecasts)

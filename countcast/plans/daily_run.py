@@ -17,7 +17,7 @@ from countcast.operators.merchants import scoring_merchants
 from countcast.operators.scoring import score, unscorable_models, unusable, usable
 from countcast.sinks.outbox import write_outbox
 from countcast.sinks.scratch import stored
-from countcast.sinks.tables import write_by_category, write_by_day
+from countcast.sinks.tables import write_by_category, write_day
 from countcast.sources.tables import read_daily, read_features
 
 
@@ -39,7 +39,9 @@ def run_for(day: dt.date | str, raw: DataFrame, models: DataFrame, merchants: Da
     """Forecasts ``day`` from events up to the day before it and stores the results under ``folder``.
 
     All categories go through one job per stage. ``save`` may also put the predictions into a database.
-    A run can be repeated: every table it writes replaces the one of the earlier run.
+    A run can be repeated: every table it writes replaces the one of the earlier run, and a day without alerts leaves
+    no message of that day. ``messages`` are those of ``day`` only. ``save`` gets the day's predictions at each run: a sink that appends must
+    take the day as a unit. The current table holds ``history_days`` at least, so charts are whole.
     Raises ``StaleDataError`` when the day before has no events.
     """
     spark = raw.sparkSession
@@ -48,7 +50,7 @@ def run_for(day: dt.date | str, raw: DataFrame, models: DataFrame, merchants: Da
     daily = read_daily(spark, f"{folder}/daily")
     require_fresh(daily, day)
 
-    write_by_category(current_features(daily, day, current_days, holidays), f"{folder}/current")
+    write_by_category(current_features(daily, day, max(current_days, history_days), holidays), f"{folder}/current")
     current = read_features(spark, f"{folder}/current")
 
     scored = stored(score(prediction_rows(daily, day, holidays), models), "scored")
@@ -56,15 +58,15 @@ def run_for(day: dt.date | str, raw: DataFrame, models: DataFrame, merchants: Da
     decided = stored(with_merchant(with_notify(usable(scored)), known), "decided")
 
     predictions = prediction_table(decided)
-    write_by_day(predictions, f"{folder}/predictions")
+    write_day(predictions, f"{folder}/predictions", day)
     if save is not None:
         save(predictions)
 
     charts = alert_charts(decided.filter("notify"), current, day, history_days)
-    write_outbox(outbox(charts), f"{folder}/outbox")
+    messages = write_outbox(outbox(charts), f"{folder}/outbox", day)
     return Run(
         predictions=predictions,
-        messages=spark.read.parquet(f"{folder}/outbox"),
+        messages=messages,
         rejected_events=rejected_events(raw),
         rejected_predictions=unusable(scored),
         unscorable_mccs=unscorable_models(models, scored),

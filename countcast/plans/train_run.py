@@ -15,9 +15,14 @@ from countcast.sources.tables import read_daily, read_features, read_models
 
 
 def train_for(day: dt.date | str, raw: DataFrame, folder: str, current_days: int = 60,
-              power: float = TWEEDIE_POWER, holidays: list[str] = HOLIDAYS, **sampling) -> DataFrame:
-    """Fits one model per category on all events up to ``day``; returns the stored model table."""
+              power: float = TWEEDIE_POWER, holidays: list[str] = HOLIDAYS, sampling: dict | None = None) -> DataFrame:
+    """Fits one model per category on all events up to ``day``; returns the stored model table.
+
+    All rows are used. ``sampling`` (the arguments of ``thin_large_categories``, {} for its defaults) thins large categories.
+    The tables lie under ``{folder}/training``, apart from those of the daily job.
+    """
     spark = raw.sparkSession
+    folder = f"{folder}/training"
     write_by_category(daily_counts(raw), f"{folder}/daily")
     daily = read_daily(spark, f"{folder}/daily")
 
@@ -25,6 +30,6 @@ def train_for(day: dt.date | str, raw: DataFrame, folder: str, current_days: int
     features = read_features(spark, f"{folder}/features")
     write_by_category(trailing(features, day, current_days), f"{folder}/current")
 
-    rows = stored(thin_large_categories(features, **sampling), "training")
+    rows = stored(features if sampling is None else thin_large_categories(features, **sampling), "training")
     write_table(fit_count_models(rows, power=power), f"{folder}/models")
     return read_models(spark, f"{folder}/models")

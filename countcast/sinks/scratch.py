@@ -1,6 +1,5 @@
 """Intermediate tables that cut a long lineage."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,13 +7,10 @@ from pyspark.sql import functions as F
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; on a local master a new one is made if unset."""
+    """The shared folder of ``spark.checkpoint.dir``, which must be set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="countcast-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder

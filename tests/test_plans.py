@@ -36,6 +36,20 @@ def test_daily_run_can_be_repeated(spark, folder, inputs):
     assert run.daily_rows == daily_counts(raw).count()
 
 
+def test_messages_are_those_of_the_day_only(spark, folder, inputs):
+    raw, models = fx.events_raw(spark, SF), fx.fixed_models(spark)
+    quiet = models.withColumn("intercept", F.lit(-50.0))
+    assert run_for("2024-01-27", raw, quiet, *inputs, folder).messages.isEmpty()  # a first day without alerts
+    first = run_for("2024-01-28", raw, models, *inputs, folder)
+    n = first.messages.count()
+    second = run_for("2024-01-29", raw, models, *inputs, folder)
+    assert n > 0 and second.messages.count() > 0
+    for run, day in ((first, "2024-01-28"), (second, "2024-01-29")):
+        assert [str(r.day) for r in run.messages.select("day").distinct().collect()] == [day]
+    again = run_for("2024-01-29", raw, quiet, *inputs, folder)  # a rerun that loses its alerts
+    assert again.messages.isEmpty() and first.messages.count() == n
+
+
 def test_daily_run_stops_on_stale_data(spark, folder, inputs):
     with pytest.raises(StaleDataError):
         run_for("2024-03-01", fx.events_raw(spark, SF), fx.fixed_models(spark), *inputs, folder)
@@ -45,7 +59,7 @@ def test_training_then_backfill(spark, folder, inputs):
     raw = fx.events_raw(spark, SF)
     models = train_for("2024-01-20", raw, folder, current_days=10)
     assert {r.mcc for r in models.collect()} == {-1, 0, 4816, 5411, 6300}
-    features, current = spark.read.parquet(f"{folder}/features"), spark.read.parquet(f"{folder}/current")
+    features, current = spark.read.parquet(f"{folder}/training/features"), spark.read.parquet(f"{folder}/training/current")
     assert rows_of(current.select("day").distinct()) == rows_of(
         features.filter("day >= '2024-01-10'").select("day").distinct())
     daily = daily_counts(raw)

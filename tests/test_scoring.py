@@ -119,10 +119,10 @@ def test_prediction_table_schema(spark):
 
 
 def test_forecast_errors(spark):
-    df = spark.createDataFrame([(1, d("2024-01-01"), 4, 5.0), (1, d("2024-01-02"), 4, 1.0)],
-                               "mcc int, day date, total bigint, expected double")
+    df = spark.createDataFrame([(1, d("2024-01-01"), 4, 5.0, 5.0), (1, d("2024-01-02"), 4, 1.0, 1.0), (1, d("2024-01-02"), 4, 1e30, None)],
+                               "mcc int, day date, total bigint, expected double, prediction double")
     got = forecast_errors(df).first()
-    assert (got.n_rows, got.n_days, got.mae, got.bias) == (2, 2, 2.0, -1.0)
+    assert (got.n_rows, got.n_unusable, got.n_days, got.mae, got.bias) == (3, 1, 2, 2.0, -1.0)
     assert got.rmse == pytest.approx(math.sqrt(5))
 
 

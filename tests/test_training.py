@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from countcast.columns import CALENDAR_FEATURES
 from countcast.operators.scoring import score
-from countcast.operators.training import LINEAR_FEATURES, POISSON_POWER, fit_count_models
+from countcast.operators.training import LINEAR_FEATURES, POISSON_POWER, NotConvergedError, fit_count_models
 from countcast.operators.trees import fit_pooled_trees, score_trees
 from countcast.sinks.scratch import stored
 
@@ -75,3 +75,9 @@ def test_pooled_trees(spark):
     scored = score_trees(rows, fit_pooled_trees(rows, rounds=10, depth=3, min_leaf_rows=5))
     error, spread = scored.agg(F.avg(F.abs(F.col("expected") - F.col("total"))), F.stddev("total")).first()
     assert error < spread and scored.filter("prediction is null or expected < 0").isEmpty()
+
+
+def test_fit_that_does_not_settle_raises(spark):
+    rows = spark.range(40).selectExpr("5411 AS mcc", "id % 9 AS total", "CAST(id % 7 AS double) AS a")
+    with pytest.raises(NotConvergedError):
+        fit_count_models(rows, names=["a"], max_steps=1)

@@ -259,7 +259,7 @@ ORACLE: dict[str, str] = {
         FROM charts WHERE notify_emails IS NOT NULL""",
     "backtest_errors": f"""
         WITH {RANGE}
-        SELECT mcc, count(*) AS n_rows, count(DISTINCT day) AS n_days, round(avg(abs(expected - total)), 6) AS mae,
+        SELECT mcc, count(*) AS n_rows, count(*) FILTER (prediction IS NULL) AS n_unusable, count(DISTINCT day) AS n_days, round(avg(abs(expected - total)), 6) AS mae,
                round(sqrt(avg((expected - total) * (expected - total))), 6) AS rmse,
                round(avg(expected - total), 6) AS bias
         FROM scored GROUP BY mcc""",
