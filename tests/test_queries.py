@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from tests.compare import connect, mismatch
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF = f"/root/testdata/{os.environ.get('COUNTCAST_SF', 'sf0.001')}"
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 ROWS_ONLY = {"train_tweedie_glm", "train_poisson_pooled", "train_gbt_pooled"}
 
 
@@ -17,6 +18,10 @@ def con():
     return connect(SF)
 
 
+def test_entry_point_has_every_query():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
+
+
 def test_every_query_has_sql_or_is_a_fit():
     assert set(QUERIES) - set(ORACLE) == ROWS_ONLY and not set(ORACLE) - set(QUERIES)
 
