@@ -3,12 +3,13 @@
 import math
 import os
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countcast.sinks.scratch import stored
 
-__all__ = ["blocks_for", "read_documents", "read_table", "shuffle_partitions", "stored", "words_in"]
+__all__ = ["GOLDEN", "blocks_for", "mixed_bits", "read_documents", "read_table", "shuffle_partitions", "stored", "words_in"]
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -16,6 +17,16 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed_bits(x: np.ndarray) -> np.ndarray:
+    """Well mixed 64-bit numbers (the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the folder. Python workers that start from now on find this package where the driver has it; on a cluster
     without a shared copy, install it on the executors."""

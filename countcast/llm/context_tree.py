@@ -5,14 +5,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countcast.llm.common import stored
+from countcast.llm.common import GOLDEN, mixed_bits, stored
 
-#: Bytes of context, at most.
+#: Bytes of context within a token, at most.
 DEPTH = 5
+#: A phrase ends with one word in so many, told by the word itself, or with the text. Its context is the two tokens before it.
+PHRASE_WORDS = 4
 #: Ends a token; the end of a text is a token of its own that starts with ``TEXT_END``. Neither byte occurs inside a token.
 TOKEN_END, TEXT_END = 0x20, 0x0A
 #: Tokens that share one list of distinct words, about.
@@ -42,9 +45,34 @@ def grams_of(words: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.nda
     return grams, owner
 
 
+def word_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit number per word, and whether the word ends a phrase."""
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
+    last = (mixed_bits(hashes) % np.uint64(PHRASE_WORDS) == 0) | np.array([w == END_WORD for w in words], dtype=bool)
+    return hashes, last
+
+
+def phrases_of(ids: np.ndarray, hashes: np.ndarray, last: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each phrase starts in ``ids`` (the words of whole documents, one after another), its context, and a name of context and phrase.
+
+    ``end`` is the place of the end word. A text starts after an end and nothing; copies of a passage have the same phrases wherever they stand.
+    """
+    if not len(ids):
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    with np.errstate(over="ignore"):
+        stop = np.flatnonzero(last[ids])
+        start = np.concatenate([[0], stop[:-1] + 1])
+        inside = (np.arange(len(ids)) - np.repeat(start, stop - start + 1)).astype(np.uint64)
+        phrase = np.add.reduceat(mixed_bits(hashes[ids] + inside * GOLDEN), start)
+        padded = np.concatenate([[end, end], ids])
+        one, two = padded[start + 1], padded[start]
+        context = mixed_bits(mixed_bits(hashes[one]) * GOLDEN + np.where(one == end, np.uint64(0), hashes[two]))
+        return start, context, mixed_bits(context * GOLDEN + phrase)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per block: each document's words as places in the block's list (kind 0), the list (kind 1), and the block's
-    distinct words (kind 2) and grams (kind 3) with their counts in training documents."""
+    distinct words (kind 2), grams (kind 3) and phrases after their contexts (kind 4) with their counts in training documents."""
     part, number = TaskContext.get().partitionId(), 0
     places: dict[bytes, int] = {}
     counts: list[int] = []
@@ -66,6 +94,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(distinct), 100_000):
             some = distinct[i:i + 100_000]
             yield _batch(key, 3, len(some), place=some, n=times[i:i + 100_000])
+        ids = np.concatenate([p for _, _, p, _ in held])
+        start, context, name = phrases_of(ids, *word_hashes(words), places[END_WORD])
+        used = np.repeat([not out for *_, out in held], [len(p) for _, _, p, _ in held])[start]
+        distinct, first, at = np.unique(name, return_index=True, return_inverse=True)
+        times = np.bincount(at, weights=used, minlength=len(distinct)).astype(np.int64)
+        for i in range(0, len(distinct), 100_000):
+            some = slice(i, i + 100_000)
+            yield _batch(key, 4, len(distinct[some]), place=distinct[some].view(np.int64), context=context[first[some]].view(np.int64), n=times[some])
 
     for batch in batches:
         for doc_id, text, out in zip(*(c.to_pylist() for c in batch.columns)):
@@ -82,11 +118,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from block()
 
 
-READ = "block long, kind int, doc_id long, held_out boolean, place long, data binary, n long"
+READ = "block long, kind int, doc_id long, held_out boolean, place long, context long, data binary, n long"
 
 
 def _batch(block: int, kind: int, size: int, **columns) -> pa.RecordBatch:
-    types = {"doc_id": pa.int64(), "held_out": pa.bool_(), "place": pa.int64(), "data": pa.binary(), "n": pa.int64()}
+    types = {"doc_id": pa.int64(), "held_out": pa.bool_(), "place": pa.int64(), "context": pa.int64(), "data": pa.binary(), "n": pa.int64()}
     arrays = [pa.array([block] * size, pa.int64()), pa.array([kind] * size, pa.int32())]
     arrays += [pa.array(columns.get(name, [None] * size), kind_of) for name, kind_of in types.items()]
     return pa.RecordBatch.from_arrays(arrays, names=["block", "kind", *types])
@@ -173,14 +209,29 @@ def gram_scores(grams: DataFrame, mixed: list[DataFrame]) -> DataFrame:
     return every.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))).alias("bits"))
 
 
+def phrase_shares(phrases: DataFrame) -> DataFrame:
+    """``name, seen, rest`` of every phrase whose context occurs in training: ``seen`` is the chance that this context gives the phrase by itself,
+    ``rest`` the share that it leaves to the tree of bytes.
+
+    ``phrases`` has ``name, context, n``. A context of ``total`` training phrases, ``kinds`` of them different, has decided ``total`` times whether its
+    next phrase is new to it, and ``kinds`` times that it is; the Krichevsky-Trofimov estimate of that decision is ``rest``. A phrase that is not new has the
+    chance of its frequency. So the chances of all phrases after a context add up to one.
+    """
+    summed = stored(phrases.groupBy("name").agg(F.first("context").alias("context"), F.sum("n").alias("n")), "score-phrases")
+    contexts = summed.filter("n > 0").groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    rest = (F.col("kinds") + 0.5) / (F.col("total") + 1)
+    return summed.join(contexts, "context").select("name", ((1 - rest) * F.col("n") / F.col("total")).alias("seen"), rest.alias("rest"))
+
+
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bytes_scored, bits_per_byte`` of every text.
 
     ``docs`` has ``doc_id``, ``text`` and ``held_out``; the others are training documents. Tokens are the words of the text with A-Z in lower case and
-    one end. ``score`` is the log10 probability of all bytes of all tokens, each given up to ``DEPTH`` bytes before it in its token.
+    one end. ``score`` is the log10 probability of all bytes of all tokens: each byte given up to ``DEPTH`` bytes before it in its token, and above that tree,
+    each phrase given the two tokens before it (see ``phrase_shares``), so that passages which training documents share are foreseen.
 
-    Texts are read once, into blocks that list their distinct words and grams with training counts. Counts are summed per word and per
-    gram over all blocks, and each block gets back the values of its own words and grams, so nothing depends on how often a word or a
+    Texts are read once, into blocks that list their distinct words, grams and phrases with training counts. Counts are summed per word, gram and
+    phrase over all blocks, and each block gets back the values of its own, so nothing depends on how often a word or a
     gram occurs, and no table of them is broadcast or held whole. NULL and empty texts are one end token. NULL ids and repeated rows are documents of their own. An empty
     table gives no rows. Without training documents all chances are even.
     """
@@ -191,10 +242,15 @@ def score(docs: DataFrame) -> DataFrame:
     grams = read.filter("kind = 3").select("block", F.col("place").alias("gram"), "n")
     summed = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "score-grams")
     values = gram_scores(summed, train(summed))
+    phrases = read.filter("kind = 4").select("block", F.col("place").alias("name"), "context", "n")
+    none = F.lit(None)
     to_blocks = (
-        words.select("block", "place", "word").join(counts, "word").select("block", F.lit(2).alias("kind"), "place", "n", F.lit(None).cast("double").alias("value"))
+        words.select("block", "place", "word").join(counts, "word")
+        .select("block", F.lit(2).alias("kind"), "place", "n", none.cast("double").alias("value"), none.cast("double").alias("rest"))
         .unionByName(grams.select("block", "gram").join(values, "gram").select(
-            "block", F.lit(3).alias("kind"), F.col("gram").alias("place"), F.lit(None).cast("long").alias("n"), F.col("bits").alias("value")))
+            "block", F.lit(3).alias("kind"), F.col("gram").alias("place"), none.cast("long").alias("n"), F.col("bits").alias("value"), none.cast("double").alias("rest")))
+        .unionByName(phrases.select("block", "name").join(phrase_shares(phrases), "name").select(
+            "block", F.lit(4).alias("kind"), F.col("name").alias("place"), none.cast("long").alias("n"), F.col("seen").alias("value"), "rest"))
     )
     mass = totals["train_tokens"] + 0.5 * (totals["distinct"] + 1)
 
@@ -213,10 +269,21 @@ def score(docs: DataFrame) -> DataFrame:
         length = np.bincount(owner, minlength=len(words))
         base = np.log10((counts + 0.5) / mass) if len(words) else counts
         rows = texts.filter(pa.array(kind == 0))
-        out = []
-        for ids in rows.column("data").to_pylist():
-            at = np.frombuffer(ids, dtype="<i4")
-            out.append((len(at), int((counts[at] > 0).sum()), base[at].sum(), chance[at].sum(), int(length[at].sum())))
+        docs = [np.frombuffer(ids, dtype="<i4") for ids in rows.column("data").to_pylist()]
+        ids = np.concatenate(docs) if docs else np.empty(0, np.int32)
+        start, _, wanted = phrases_of(ids, *word_hashes(words), words.index(END_WORD) if words else 0)
+        found, seen, rest = place[kinds == 4].view(np.uint64), *(known.column(c).filter(pa.array(kinds == 4)).to_numpy() for c in ("value", "rest"))
+        order = np.argsort(found)
+        at = np.searchsorted(found, wanted, sorter=order)
+        at = order[np.minimum(at, len(found) - 1)] if len(found) else at
+        there = found[at] == wanted if len(found) else np.zeros(len(wanted), bool)
+        seen, rest = (np.where(there, v[at], otherwise) if len(found) else np.full(len(wanted), otherwise) for v, otherwise in ((seen, 0.0), (rest, 1.0)))
+        spelled = np.log10(rest) + (np.add.reduceat(chance[ids], start) if len(ids) else 0.0)
+        with np.errstate(divide="ignore"):
+            either = np.logaddexp2(np.log2(seen), spelled * math.log2(10)) / math.log2(10)
+        of_doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])[start] if docs else start
+        scores = np.bincount(of_doc, either, len(docs))
+        out = [(len(d), int((counts[d] > 0).sum()), base[d].sum(), scores[k], int(length[d].sum())) for k, d in enumerate(docs)]
         columns = list(zip(*out)) or [[]] * 5
         return pa.table({
             "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()),
@@ -224,7 +291,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     return (
         read.filter("kind < 2").select("block", "kind", "doc_id", "held_out", "data").groupBy("block")
-        .cogroup(to_blocks.select(F.col("block").alias("of_block"), "kind", "place", "n", "value").groupBy("of_block"))
+        .cogroup(to_blocks.select(F.col("block").alias("of_block"), "kind", "place", "n", "value", "rest").groupBy("of_block"))
         .applyInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bytes_scored long")
         .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals["train_tokens"]).cast("long").alias("train_tokens"), "base_score", "score",
                 "bytes_scored", (-F.col("score") * math.log2(10) / F.col("bytes_scored")).alias("bits_per_byte"))

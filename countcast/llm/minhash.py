@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from countcast.llm.common import stored
+from countcast.llm.common import GOLDEN, mixed_bits, stored
 from countcast.llm.components import components
 
 WORDS = 5
@@ -20,17 +20,9 @@ BANDS, ROWS = 32, 4
 SMALL_BUCKET = 24
 LEADERS = 3
 
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _known_words: dict[str, int] = {}
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Well mixed 64-bit numbers (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _uniform(x: np.ndarray) -> np.ndarray:
     """(0, 1) from 64-bit numbers."""
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
@@ -61,7 +53,7 @@ def shingles(words: list[str], size: int = WORDS) -> tuple[np.ndarray, np.ndarra
     n = len(ids) - size + 1
     mixed = np.full(n, np.uint64(len(ids) if len(ids) < WORDS else 0))
     for k in range(size):
-        mixed = _mixed(mixed * _GOLDEN + ids[k:k + n])
+        mixed = mixed_bits(mixed * GOLDEN + ids[k:k + n])
     return np.unique(mixed, return_counts=True)
 
 
@@ -86,17 +78,17 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], length: int = BANDS *
         there = np.flatnonzero(weights > begin)
         if not len(there):
             break
-        parts.append((bag[there], _mixed(hashes[there] + np.uint64(level) * _GOLDEN), weights[there], np.full(len(there), begin), np.full(len(there), size)))
+        parts.append((bag[there], mixed_bits(hashes[there] + np.uint64(level) * GOLDEN), weights[there], np.full(len(there), begin), np.full(len(there), size)))
         level, begin, size = level + 1, begin + size, begin + size
     bag, seed, weight, begin, size = (np.concatenate(p) for p in zip(*parts))
     time, flat = np.zeros(len(bag)), out.ravel()
     while len(bag):
-        seed = seed + _GOLDEN
-        coin = _mixed(seed)
+        seed = seed + GOLDEN
+        coin = mixed_bits(seed)
         time = time - np.log(_uniform(coin)) / size
-        second = _mixed(coin)
+        second = mixed_bits(coin)
         place = begin + (_uniform(second) * size).astype(np.int64)
-        position = (_mixed(second ^ _GOLDEN) % np.uint64(length)).astype(np.int64)
+        position = (mixed_bits(second ^ GOLDEN) % np.uint64(length)).astype(np.int64)
         kept = place < weight
         np.minimum.at(flat, bag[kept] * length + position[kept], time[kept])
         on = time <= out.max(axis=1)[bag]
@@ -108,7 +100,7 @@ def band_keys(values: np.ndarray, bands: int = BANDS) -> np.ndarray:
     bits = values.view(np.uint64).reshape(len(values), bands, -1)
     keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), bits.shape[:2]).copy()
     for k in range(bits.shape[2]):
-        keys = _mixed(keys * _GOLDEN + bits[:, :, k])
+        keys = mixed_bits(keys * GOLDEN + bits[:, :, k])
     return keys.view(np.int64)
 
 

@@ -138,15 +138,39 @@ def test_context_tree_matches_brute_force(spark, docs, texts):
             rest *= 1 - own[k][key]
         return total
 
+    def phrases(text):
+        words, found, begin = [*context_tree.tokens_of(text), context_tree.END_WORD], [], 0
+        for k, last in enumerate(context_tree.word_hashes(words)[1]):
+            if last:
+                found.append((tuple([context_tree.END_WORD, *words[:begin]][-2:]), tuple(words[begin:k + 1])))
+                begin = k + 1
+        return found
+
+    after = defaultdict(Counter)
+    for i, t in texts.items():
+        if not held(i):
+            for context, phrase in phrases(t):
+                after[context][phrase] += 1
     got = {r.doc_id: r for r in QUERIES["op3_context_tree"](spark, SF).collect()}
     mass = sum(counts.values()) + 0.5 * (len(counts) + 1)
     for doc_id, text in list(texts.items())[::25]:
         words = [*context_tree.tokens_of(text), context_tree.END_WORD]
-        score = sum(math.log10(p if bit else 1 - p) for gram in context_tree.grams_of(words)[0].tolist()
-                    for node, bit in decisions(gram & 255) for p in [chance(gram >> 8, node)])
+        score = 0.0
+        for context, phrase in phrases(text):
+            spelled = sum(math.log10(p if bit else 1 - p) for gram in context_tree.grams_of(list(phrase))[0].tolist()
+                          for node, bit in decisions(gram & 255) for p in [chance(gram >> 8, node)])
+            total, rest = sum(after[context].values()), 1.0
+            if total:
+                rest = (len(after[context]) + 0.5) / (total + 1)
+                score += np.logaddexp(np.log((1 - rest) * after[context][phrase] / total) if after[context][phrase] else -np.inf,
+                                      math.log(rest) + spelled * math.log(10)) / math.log(10)
+            else:
+                score += spelled
         r = got[doc_id]
         assert r.score == pytest.approx(score, rel=1e-9) and r.held_out == held(doc_id)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 0.5) / mass) for w in words), rel=1e-9)
+    out = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
 def test_near_duplicates_match_brute_force(spark, docs, texts):
