@@ -1,9 +1,13 @@
 """Thinning the training rows of very large categories."""
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countcast.columns import DAY, MCC, MERCHANT
+from countcast.functions.codes import merchant_number
+from countcast.functions.dates import day_literal
 
 # A category with this many rows is sampled, and the share that is kept.
 LARGE_CATEGORY_ROWS = 111_000_000
@@ -16,14 +20,26 @@ def category_rows(features: DataFrame) -> DataFrame:
     return features.groupBy(MCC).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def calendar_rows(daily: DataFrame, until: dt.date | str) -> DataFrame:
+    """``category_rows`` of the calendar from ``daily`` up to ``until``, without building it: a merchant has a row for each day since its first."""
+    first = (
+        daily.filter(F.col(DAY) <= day_literal(until)).select(MCC, merchant_number(MERCHANT).alias(MERCHANT), DAY)
+        .filter(F.col(MERCHANT).isNotNull())
+        .groupBy(MCC, MERCHANT).agg(F.min(DAY).alias("first_day"))
+    )
+    return first.groupBy(MCC).agg(F.sum(F.datediff(day_literal(until), F.col("first_day")) + 1).alias("n_rows"))
+
+
 def thin_large_categories(features: DataFrame, threshold: int = LARGE_CATEGORY_ROWS,
-                          share: float = SAMPLE_SHARE, seed: int = SAMPLE_SEED) -> DataFrame:
+                          share: float = SAMPLE_SHARE, seed: int = SAMPLE_SEED, sizes: DataFrame | None = None) -> DataFrame:
     """Keeps all rows of ordinary categories and a fixed share of those with at least ``threshold`` rows.
 
+    ``sizes`` gives the rows per category if they are known (see ``calendar_rows``); else they are counted.
+
     A row is kept or not by a hash of its key, whose hex digits order like numbers, without replacement. Unlike a random draw, a
     task that is run again after a lost executor keeps the same rows.
     """
-    sizes = category_rows(features)
+    sizes = category_rows(features) if sizes is None else sizes
     digest = F.md5(F.concat_ws("|", MCC, MERCHANT, F.col(DAY).cast("string"), F.lit(seed)).cast("binary"))
     limit = f"{int(share * 2**32):08x}"
     # At most one row per ``threshold`` rows of the table, so it is always small enough to broadcast.

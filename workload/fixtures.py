@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 
 SHIPPING_DAY = "2001-06-30"
-FIRST_YEAR, LAST_YEAR = 1995, 2001
 DOUBLED_FROM_YEAR = 1998
 EVENTS_DAY = "2024-01-31"
 BACKTEST_DAYS = ("2024-01-20", "2024-01-30")

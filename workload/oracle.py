@@ -267,6 +267,9 @@ ORACLE: dict[str, str] = {
         WITH {RANGE}
         SELECT mcc, merchant_id, CAST(day AS VARCHAR) AS day, total, round(prediction, 6) AS prediction, notify
         FROM scored""",
+    "train_tweedie_cell_means": f"""
+        WITH {_features(EVENT_ROWS, fx.BACKTEST_DAYS[1])}
+        SELECT mcc, CAST(is_weekend AS INTEGER) AS is_weekend, round(avg(total), 6) AS mean_total FROM features GROUP BY ALL""",
     "training_category_rows": f"""
         WITH {_dense(DENIED, SHIPPING)} SELECT mcc, count(*) AS n_rows FROM dense GROUP BY mcc""",
     "sampled_training_rows": f"""

@@ -26,7 +26,7 @@ from countcast.operators.history import expanding_report, last_rows, with_histor
 from countcast.operators.merchants import (
     best_merchant_rows, merchant_attributes, scoring_merchants, with_account_id,
 )
-from countcast.operators.sampling import category_rows, thin_large_categories
+from countcast.operators.sampling import calendar_rows, thin_large_categories
 from countcast.operators.scoring import score, unscorable_models, usable
 from countcast.operators.training import POISSON_POWER, fit_count_models
 from countcast.operators.trees import fit_pooled_trees, score_trees
@@ -72,24 +72,26 @@ def clean_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _year_tables(fx.transactions_raw(spark, sf_dir))
-    found = shards(range(fx.FIRST_YEAR, fx.LAST_YEAR + 1), doubled_from=fx.DOUBLED_FROM_YEAR)
-    return _shown(daily_counts(union_shards(found, lambda s: _year_table(tables, s))))
+    raw = fx.transactions_raw(spark, sf_dir)
+    found = shards(_years(raw), doubled_from=fx.DOUBLED_FROM_YEAR)
+    return _shown(daily_counts(union_shards(found, lambda s: _year_table(raw, s))))
 
 
 def year_shard_union_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _year_tables(fx.denied_raw(spark, sf_dir).withColumn("shard", F.lit(1)))
-    found = shards(range(fx.FIRST_YEAR, fx.LAST_YEAR + 1))
-    return _shown(daily_counts(union_shards(found, lambda s: _year_table(tables, s))))
+    raw = fx.denied_raw(spark, sf_dir).withColumn("shard", F.lit(1))
+    return _shown(daily_counts(union_shards(shards(_years(raw)), lambda s: _year_table(raw, s))))
 
 
-def _year_tables(raw: DataFrame) -> DataFrame:
-    """The events stored once as one table per year and shard, as the operator expects to find them."""
-    return stored(raw.withColumn("year", F.year("event_ts")), "years", "year", "shard")
+def _years(raw: DataFrame) -> range:
+    """The years of the events; 1970 alone if there are none."""
+    first, last = raw.agg(F.year(F.min("event_ts")), F.year(F.max("event_ts"))).first()
+    return range(first or 1970, (last or 1970) + 1)
 
 
-def _year_table(tables: DataFrame, shard: Shard) -> DataFrame:
-    return tables.filter((F.col("year") == shard.year) & (F.col("shard") == shard.part))
+def _year_table(raw: DataFrame, shard: Shard) -> DataFrame:
+    """The events of one year and shard; the bounds on the day reach the scan."""
+    start, end = (F.lit(f"{year}-01-01").cast("date") for year in (shard.year, shard.year + 1))
+    return raw.filter((F.col("event_ts") >= start) & (F.col("event_ts") < end) & (F.col("shard") == shard.part))
 
 
 def rejected_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +152,8 @@ def expanding_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY)
-    return _shown(last_rows(dense, HISTORY_DAYS))
+    start = as_date(fx.SHIPPING_DAY) - dt.timedelta(days=HISTORY_DAYS - 1)
+    return _shown(last_rows(recent_calendar(_shipping_daily(spark, sf_dir), start, fx.SHIPPING_DAY), HISTORY_DAYS))
 
 
 # Merchants
@@ -182,12 +184,12 @@ def prediction_row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(with_merchant(rows, _merchants(spark, sf_dir)))
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usable(score(prediction_rows(_events_daily(spark, sf_dir), fx.EVENTS_DAY), fx.fixed_models(spark)))
+def _scored(spark: SparkSession, daily: DataFrame) -> DataFrame:
+    return usable(score(prediction_rows(daily, fx.EVENTS_DAY), fx.fixed_models(spark)))
 
 
 def score_fixed_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir)
+    scored = _scored(spark, _events_daily(spark, sf_dir))
     return _shown(scored.select("mcc", "merchant_id", "day", F.col("prediction").cast("double").alias("prediction")))
 
 
@@ -195,18 +197,20 @@ def unscorable_mccs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unscorable_models(fx.fixed_models(spark), prediction_rows(_events_daily(spark, sf_dir), fx.EVENTS_DAY))
 
 
-def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_merchant(with_notify(_scored(spark, sf_dir)), _merchants(spark, sf_dir))
+def _decided(spark: SparkSession, sf_dir: str, daily: DataFrame) -> DataFrame:
+    return with_merchant(with_notify(_scored(spark, daily)), _merchants(spark, sf_dir))
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(prediction_table(_decided(spark, sf_dir)).withColumn("prediction", F.col("prediction").cast("double")))
+    decided = _decided(spark, sf_dir, _events_daily(spark, sf_dir))
+    return _shown(prediction_table(decided).withColumn("prediction", F.col("prediction").cast("double")))
 
 
 def _charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = stored(_events_daily(spark, sf_dir), "daily")  # the facts are read and counted once
     start = as_date(fx.EVENTS_DAY) - dt.timedelta(days=HISTORY_DAYS)
-    dense = recent_calendar(_events_daily(spark, sf_dir), start, fx.EVENTS_DAY)
-    return alert_charts(_decided(spark, sf_dir).filter("notify"), dense, fx.EVENTS_DAY)
+    dense = recent_calendar(daily, start, fx.EVENTS_DAY)
+    return alert_charts(_decided(spark, sf_dir, daily).filter("notify"), dense, fx.EVENTS_DAY)
 
 
 def alert_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,12 +251,13 @@ def forecast_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Training
 
 def training_category_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category_rows(dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY))
+    return calendar_rows(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY)
 
 
 def sampled_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = stored(dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY), "dense")
-    kept = thin_large_categories(dense, threshold=SAMPLE_ABOVE_ROWS)
+    daily = stored(_shipping_daily(spark, sf_dir), "daily")
+    kept = thin_large_categories(dense_calendar(daily, fx.SHIPPING_DAY), threshold=SAMPLE_ABOVE_ROWS,
+                                 sizes=calendar_rows(daily, fx.SHIPPING_DAY))
     return kept.groupBy("mcc", "merchant_id").agg(
         F.count(F.lit(1)).alias("kept_rows"), F.sum(TOTAL).alias("kept_total"))
 
@@ -265,6 +270,13 @@ def train_tweedie_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_count_models(_training_rows(spark, sf_dir))
 
 
+def train_tweedie_cell_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With one flag and no ridge the fitted mean of a category's days with and without it is their average."""
+    models = fit_count_models(_training_rows(spark, sf_dir), ["is_weekend"], ridge=0.0, tolerance=1e-10)
+    flags = models.select("mcc", "intercept", F.col("coefs")[0].alias("slope"), F.explode(F.array(F.lit(0), F.lit(1))).alias("is_weekend"))
+    return _shown(flags.select("mcc", "is_weekend", F.exp(F.col("intercept") + F.col("slope") * F.col("is_weekend")).alias("mean_total")))
+
+
 def train_poisson_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_count_models(_training_rows(spark, sf_dir), HISTORY_FEATURES, power=POISSON_POWER, pooled=True)
 
@@ -283,6 +295,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         recent_history, merchant_best_row, merchant_special_accounts, scoring_merchant_rows,
         prediction_row_features, score_fixed_model, unscorable_mccs, alerts, alert_chart, alert_messages,
         backtest_errors, forecast_days, training_category_rows, sampled_training_rows,
-        train_tweedie_glm, train_poisson_pooled, train_gbt_pooled,
+        train_tweedie_glm, train_tweedie_cell_means, train_poisson_pooled, train_gbt_pooled,
     ]
 }
