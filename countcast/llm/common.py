@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from countcast.sinks.scratch import stored
 
-__all__ = ["GOLDEN", "blocks_for", "mixed_bits", "read_documents", "read_table", "shuffle_partitions", "stored", "words_in"]
+__all__ = ["GOLDEN", "blocks_for", "discard", "mixed_bits", "read_documents", "read_table", "shuffle_partitions", "stored", "words_in"]
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -46,6 +46,15 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``stored`` once what was computed from them is stored too, so that nothing reads them again."""
+    for table in tables:
+        jvm, settings = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(settings).delete(path, True)
+
+
 def blocks_for(n_rows: int, rows_per_block: int) -> int:
     return max(1, math.ceil(n_rows / rows_per_block))
 

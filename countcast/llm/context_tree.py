@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countcast.llm.common import GOLDEN, mixed_bits, stored
+from countcast.llm.common import GOLDEN, discard, mixed_bits, stored
 
 #: Bytes of context within a token, at most.
 DEPTH = 5
@@ -184,6 +184,7 @@ def train(grams: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
                         (F.col("rest0") * (1 - F.col("own"))).alias("rest"))
             )
         mixed.append(stored(here, "tree-down"))
+    discard(*levels)
     return mixed
 
 
@@ -194,19 +195,24 @@ def gram_scores(grams: DataFrame, mixed: list[DataFrame]) -> DataFrame:
     asked = grams.select("gram", F.shiftrightunsigned("gram", 8).alias("whole"), F.explode(_bits(F.col("gram"))).alias("b")).select(
         "gram", "whole", F.col("b.node").alias("node"), F.col("b.bit").alias("bit"), F.lit(False).alias("found"), F.lit(0.5).alias("one"))
     # Nearly all decisions are found at full length; the others go on to the next shorter context.
-    known = []
+    known, held = [], []
     for d in range(depth, -1, -1):
         level = mixed[d].select(F.col("context").alias("whole"), "node", F.lit(True).alias("there"), "acc", "rest")
         joined = asked.withColumn("whole", F.col("whole").bitwiseAND((1 << 8 * d) - 1)).join(level, ["whole", "node"], "left")
-        joined = stored(joined.select("gram", "whole", "node", "bit", "there", (F.col("acc") + 0.5 * F.col("rest")).alias("one")), "gram-level") if d else joined.select(
-            "gram", "whole", "node", "bit", "there", (F.col("acc") + 0.5 * F.col("rest")).alias("one"))
+        joined = joined.select("gram", "whole", "node", "bit", "there", (F.col("acc") + 0.5 * F.col("rest")).alias("one"))
+        if d:
+            joined = stored(joined, "gram-level")
+            held.append(joined)
         known.append((joined.filter("there") if d else joined).select("gram", "bit", F.coalesce("one", F.lit(0.5)).alias("one")))
         if d:
             asked = joined.filter("there is null").select("gram", "whole", "node", "bit")
     every = known[0]
     for part in known[1:]:
         every = every.unionByName(part)
-    return every.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))).alias("bits"))
+    chance = F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one"))
+    scores = stored(every.groupBy("gram").agg(F.sum(F.log10(chance)).alias("bits")), "gram-scores")
+    discard(*held)
+    return scores
 
 
 def phrase_shares(phrases: DataFrame) -> DataFrame:
@@ -241,7 +247,9 @@ def score(docs: DataFrame) -> DataFrame:
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("train_tokens"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
     grams = read.filter("kind = 3").select("block", F.col("place").alias("gram"), "n")
     summed = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "score-grams")
-    values = gram_scores(summed, train(summed))
+    mixed = train(summed)
+    values = gram_scores(summed, mixed)
+    discard(summed, *mixed)
     phrases = read.filter("kind = 4").select("block", F.col("place").alias("name"), "context", "n")
     none = F.lit(None)
     to_blocks = (
