@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their recurring lines; ``n_chars`` follows."""
-    return templates.drop_recurring(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return templates.drop_recurring(docs, whole=True).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,9 +18,12 @@ LEAST_CONSTANT = 0.75
 VARIABLE = "<*>"
 
 
-def recurring_lines(docs: DataFrame) -> DataFrame:
+def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``doc_id, text_key, lines``: for each document with recurring lines, their places (from 0).
 
+    ``LEAST_SHARE`` belongs to the rule of the registered query, which its SQL fixes. With ``whole``, as in the pipeline, there is no such
+    share: the number of copies of one document can't protect a line in others.
+
     Digits are a variable field from the start. The tree's levels are the number of tokens of a line and its first ``DEPTH`` tokens. Only leaves
     with enough documents go on. There a token is constant at its place if enough documents of the leaf have it; other tokens
     become variable fields. Lines with equal templates are one; a template that is mostly constant and has enough documents recurs.
@@ -64,19 +67,19 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
     recurring = (
         found.groupBy("template", "content").agg(F.count_distinct("doc_id", "text_key").alias("documents"))
         .groupBy("template").agg(F.count("*").alias("contents"), F.sum("documents").alias("documents"))
-        .filter((F.col("contents") >= LEAST_DOCUMENTS) & (F.col("contents") >= LEAST_SHARE * F.col("documents")))
+        .filter((F.col("contents") >= LEAST_DOCUMENTS) & (F.lit(whole) | (F.col("contents") >= LEAST_SHARE * F.col("documents"))))
         .select("template")
     )
     return found.join(recurring, "template").groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("lines"))
 
 
-def drop_recurring(docs: DataFrame) -> DataFrame:
+def drop_recurring(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and two new columns, ``n_lines`` and ``n_dropped``.
 
     All columns are kept. A document whose lines all recur stays, with an empty text; NULL texts stay NULL (0 lines), an
-    empty text is one line. Repeated rows are treated alike; NULL ids too. An empty table gives no rows.
+    empty text is one line. Repeated rows are treated alike; NULL ids too. An empty table gives no rows. ``whole``: see ``recurring_lines``.
     """
-    found = stored(recurring_lines(docs), "templates-drops").select(
+    found = stored(recurring_lines(docs, whole), "templates-drops").select(
         F.col("doc_id").alias("drop_id"), F.col("text_key").alias("drop_key"), F.col("lines").alias("drop_lines"))
     split = F.split("text", "\n")
     kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(F.col("drop_lines"), i)), "\n")
