@@ -16,13 +16,51 @@ LEAST_SHARE = 0.25
 #: Share of a template's tokens that must be constant.
 LEAST_CONSTANT = 0.75
 VARIABLE = "<*>"
+# For the pipeline's rule (``whole``):
+#: A line is a text's own if no other text has a line with the same first or the same last so many tokens; so edits within a line of a copy don't make it its own.
+ANCHOR = 6
+#: Texts with at least this share of their tokens in lines of their own count each, others by the text they share most with.
+OWN_SHARE = 0.05
+#: Two texts with less of their own are near copies by the later stage's similarity of 0.8.
+NEAR_SHARE = 1 / 9
+
+
+def _unlike(keyed: DataFrame, found: DataFrame) -> DataFrame:
+    """``text_key, own, leader`` of the texts in ``found``: the share of a text's tokens that stand in lines of its own, and the text that it counts as
+    if that share is small.
+
+    An anchor is the start or the end of a line. The leader of an anchor is one of the texts that have it, best one with much of its own. A text's leader is that of
+    most of its tokens, where an anchor that many texts have weighs less: copies share their rare lines too, unlike texts only the common ones.
+    """
+    tokens = F.regexp_extract_all(F.regexp_replace("line", "[0-9]+", VARIABLE), F.lit(f"({WORD})"), 1)
+    pieces = (
+        keyed.join(found.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key", "place"])
+        .select("text_key", "place", tokens.alias("tokens")).withColumn("n", F.size("tokens")).filter("n > 0")
+        .withColumn("anchor", F.explode(F.array(
+            F.xxhash64(F.lit("first"), F.slice("tokens", 1, ANCHOR)),
+            F.xxhash64(F.lit("last"), F.slice("tokens", F.greatest(F.col("n") - ANCHOR + 1, F.lit(1)), ANCHOR)))))
+        .select("text_key", "place", "n", "anchor")
+    )
+    pieces = stored(pieces, "templates-pieces")
+    common = (
+        pieces.groupBy("anchor", "text_key").agg(F.lit(1).alias("one")).groupBy("anchor").agg(F.count("*").alias("texts")).filter("texts > 1"))
+    met = stored(pieces.join(common, "anchor"), "templates-met")
+    total = pieces.groupBy("text_key", "place").agg(F.max("n").alias("n")).groupBy("text_key").agg(F.sum("n").alias("n"))
+    shared = met.groupBy("text_key", "place").agg(F.max("n").alias("n")).groupBy("text_key").agg(F.sum("n").alias("n_shared"))
+    owned = stored(total.join(shared, "text_key", "left").select("text_key", (1 - F.coalesce("n_shared", F.lit(0)) / F.col("n")).alias("own")), "templates-owned")
+    met = met.join(owned, "text_key")
+    leaders = met.groupBy("anchor").agg(F.min(F.struct(F.col("own") < NEAR_SHARE, "text_key"))["text_key"].alias("leader"))
+    weights = met.join(leaders, "anchor").groupBy("text_key", "leader").agg(F.sum(F.col("n") / F.sqrt("texts")).alias("weight"))
+    best = weights.groupBy("text_key").agg(F.max_by("leader", F.struct("weight", "leader")).alias("leader"))
+    return owned.join(best, "text_key", "left").select("text_key", "own", F.coalesce("leader", "text_key").alias("leader"))
 
 
 def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``doc_id, text_key, lines``: for each document with recurring lines, their places (from 0).
 
     ``LEAST_SHARE`` belongs to the rule of the registered query, which its SQL fixes. With ``whole``, as in the pipeline, there is no such
-    share: the number of copies of one document can't protect a line in others.
+    share: the number of copies of one document can't protect a line in others. Documents then count by their whole text, near copies with
+    next to no text of their own by the text they are near to (``_unlike``), so lines that unlike documents share can't merge those.
 
     Digits are a variable field from the start. The tree's levels are the number of tokens of a line and its first ``DEPTH`` tokens. Only leaves
     with enough documents go on. There a token is constant at its place if enough documents of the leaf have it; other tokens
@@ -35,7 +73,8 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
         docs.filter(F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_key"), F.split("text", "\n").alias("raw"))
         .withColumn("sums", F.transform("raw", lambda x: F.md5(x)))
-        .select("doc_id", "text_key", F.xxhash64(F.array_min("sums"), F.array_max("sums")).alias("content"), F.posexplode("raw").alias("place", "line"))
+        .withColumn("content", F.col("text_key") if whole else F.xxhash64(F.array_min("sums"), F.array_max("sums")))
+        .select("doc_id", "text_key", "content", F.posexplode("raw").alias("place", "line"))
     )
     start = r"^[\x20\x09-\x0D]*" + r"[\x20\x09-\x0D]+".join([f"({WORD})"] * DEPTH)
     lines = (
@@ -64,10 +103,20 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
         .select("leaf", "line", F.xxhash64("leaf", F.array_join(F.col("parts.token"), " ")).alias("template"))
     )
     found = stored(held.join(stored(templates, "templates-named"), ["leaf", "line"]).select("doc_id", "text_key", "content", "place", "template"), "templates-found")
+    if whole:
+        counted = (
+            found.groupBy("template", "text_key").agg(F.lit(1).alias("one")).join(stored(_unlike(keyed, found), "templates-unlike"), "text_key")
+            .withColumn("content", F.when(F.col("own") >= OWN_SHARE, F.col("text_key")).otherwise(F.col("leader")))
+        )
+        recurring = (
+            counted.groupBy("template", "content").agg(F.lit(1).alias("one")).groupBy("template").agg(F.count("*").alias("contents"))
+            .filter(F.col("contents") >= LEAST_DOCUMENTS).select("template")
+        )
+        return found.join(recurring, "template").groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("lines"))
     recurring = (
         found.groupBy("template", "content").agg(F.count_distinct("doc_id", "text_key").alias("documents"))
         .groupBy("template").agg(F.count("*").alias("contents"), F.sum("documents").alias("documents"))
-        .filter((F.col("contents") >= LEAST_DOCUMENTS) & (F.lit(whole) | (F.col("contents") >= LEAST_SHARE * F.col("documents"))))
+        .filter((F.col("contents") >= LEAST_DOCUMENTS) & (F.col("contents") >= LEAST_SHARE * F.col("documents")))
         .select("template")
     )
     return found.join(recurring, "template").groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("lines"))

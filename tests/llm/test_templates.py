@@ -32,3 +32,28 @@ def test_copies_of_one_document_protect_no_line_in_others(spark):
 def test_lines_of_copies_alone_stay(spark):
     texts = ["\n".join(words(k, 20) for k in range(6))] * 40
     assert all(len(lines) == 6 for lines in dropped(spark, texts).values())
+
+
+def test_shared_lines_do_not_merge_unlike_documents(spark):
+    for n_shared, n_own in ((8, 1), (30, 3)):
+        shared = [words(5000 + k, 8) for k in range(n_shared)]
+        got = dropped(spark, ["\n".join(shared + [words(100 * k + j, 8) for j in range(n_own)]) for k in range(8)])
+        assert all(len(lines) == n_own for lines in got.values())
+
+
+def test_near_copies_count_once(spark):
+    lines = [words(k, 60) for k in range(8)]
+    texts = []
+    for k in range(30):  # each copy has a word of its own in one line
+        edited = lines[k % 8].split()
+        edited[10 + k] = f"edit{chr(97 + k % 26)}{chr(97 + k // 26)}"
+        texts.append("\n".join([*lines[:k % 8], " ".join(edited), *lines[k % 8 + 1:]]))
+    assert all(len(rest) == 8 for rest in dropped(spark, texts).values())
+
+
+def test_pairs_of_near_copies_do_not_hide_what_others_share(spark):
+    texts = []
+    for k in range(8):
+        body = [words(100 * k + j, 30) for j in range(4)]
+        texts += ["\n".join([SHARED, *body]), "\n".join([SHARED, *body[:3], body[3] + " more"])]
+    assert all(len(lines) == 4 for lines in dropped(spark, texts).values())
