@@ -1,6 +1,6 @@
 """Dropping lines whose template recurs across documents, with a fixed-depth template tree. DataFrame functions only."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countcast.llm.common import WORD, stored
@@ -23,6 +23,16 @@ ANCHOR = 6
 OWN_SHARE = 0.05
 #: Two texts with less of their own are near copies by the later stage's similarity of 0.8.
 NEAR_SHARE = 1 / 9
+#: The documents needed fall with the length of a line: (tokens above which, documents). Short lines need ``LEAST_DOCUMENTS``.
+LEAST_BY_LENGTH = ((50, 2), (35, 3), (20, 4))
+
+
+def _needed(whole: bool) -> Column:
+    """Documents that a line of ``n`` tokens needs."""
+    needed = F.lit(LEAST_DOCUMENTS)
+    for above, documents in reversed(LEAST_BY_LENGTH if whole else ()):
+        needed = F.when(F.col("n") > above, documents).otherwise(needed)
+    return needed
 
 
 def _unlike(keyed: DataFrame, found: DataFrame) -> DataFrame:
@@ -60,7 +70,8 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
 
     ``LEAST_SHARE`` belongs to the rule of the registered query, which its SQL fixes. With ``whole``, as in the pipeline, there is no such
     share: the number of copies of one document can't protect a line in others. Documents then count by their whole text, near copies with
-    next to no text of their own by the text they are near to (``_unlike``), so lines that unlike documents share can't merge those.
+    next to no text of their own by the text they are near to (``_unlike``), so lines that unlike documents share can't merge those. The
+    documents needed fall with the length of the line; where fewer than ``LEAST_DOCUMENTS`` do, near copies are those with less than ``NEAR_SHARE`` of their own.
 
     Digits are a variable field from the start. The tree's levels are the number of tokens of a line and its first ``DEPTH`` tokens. Only leaves
     with enough documents go on. There a token is constant at its place if enough documents of the leaf have it; other tokens
@@ -82,16 +93,16 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
         .withColumn("line", F.regexp_replace("line", "[0-9]+", VARIABLE))
         .withColumn("leaf", F.xxhash64("n", *[F.regexp_extract("line", start, k + 1) for k in range(DEPTH)]))
     )
-    leaves = lines.groupBy("leaf", "content").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("contents"))
-    leaves = stored(leaves.filter(F.col("contents") >= LEAST_DOCUMENTS).select("leaf"), "templates-leaves")
+    leaves = lines.groupBy("leaf", "n", "content").agg(F.lit(1).alias("one")).groupBy("leaf", "n").agg(F.count("*").alias("contents"))
+    leaves = stored(leaves.filter(F.col("contents") >= _needed(whole)).select("leaf", _needed(whole).alias("needed")), "templates-leaves")
     held = stored(lines.join(leaves, "leaf").select("doc_id", "text_key", "content", "place", "leaf", "line"), "templates-lines")
 
     each = held.groupBy("leaf", "line", "content").agg(F.lit(1).alias("one")).groupBy("leaf", "line").agg(F.count("*").alias("contents"))
     each = stored(each, "templates-each")
     tokens = each.select("leaf", "line", "contents", F.posexplode(F.regexp_extract_all("line", F.lit(f"({WORD})"), 1)).alias("at", "token"))
     constant = stored(
-        tokens.groupBy("leaf", "at", "token").agg(F.sum("contents").alias("support"))
-        .filter(F.col("support") >= LEAST_DOCUMENTS).drop("support"), "templates-constant")
+        tokens.groupBy("leaf", "at", "token").agg(F.sum("contents").alias("support")).join(leaves, "leaf")
+        .filter(F.col("support") >= F.col("needed")).drop("support", "needed"), "templates-constant")
     named = constant.withColumn("constant", F.lit(True))
     templates = (
         tokens.join(named, ["leaf", "at", "token"], "left")
@@ -102,15 +113,16 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
         .filter(F.col("n_constant") >= LEAST_CONSTANT * F.col("n"))
         .select("leaf", "line", F.xxhash64("leaf", F.array_join(F.col("parts.token"), " ")).alias("template"))
     )
-    found = stored(held.join(stored(templates, "templates-named"), ["leaf", "line"]).select("doc_id", "text_key", "content", "place", "template"), "templates-found")
+    named = stored(templates.join(leaves, "leaf"), "templates-named")
+    found = stored(held.join(named, ["leaf", "line"]).select("doc_id", "text_key", "content", "place", "template", "needed"), "templates-found")
     if whole:
         counted = (
-            found.groupBy("template", "text_key").agg(F.lit(1).alias("one")).join(stored(_unlike(keyed, found), "templates-unlike"), "text_key")
-            .withColumn("content", F.when(F.col("own") >= OWN_SHARE, F.col("text_key")).otherwise(F.col("leader")))
+            found.groupBy("template", "needed", "text_key").agg(F.lit(1).alias("one")).join(stored(_unlike(keyed, found), "templates-unlike"), "text_key")
+            .withColumn("content", F.when(F.col("own") >= F.when(F.col("needed") < LEAST_DOCUMENTS, NEAR_SHARE).otherwise(OWN_SHARE), F.col("text_key")).otherwise(F.col("leader")))
         )
         recurring = (
-            counted.groupBy("template", "content").agg(F.lit(1).alias("one")).groupBy("template").agg(F.count("*").alias("contents"))
-            .filter(F.col("contents") >= LEAST_DOCUMENTS).select("template")
+            counted.groupBy("template", "needed", "content").agg(F.lit(1).alias("one")).groupBy("template", "needed").agg(F.count("*").alias("contents"))
+            .filter(F.col("contents") >= F.col("needed")).select("template")
         )
         return found.join(recurring, "template").groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("lines"))
     recurring = (

@@ -57,3 +57,20 @@ def test_pairs_of_near_copies_do_not_hide_what_others_share(spark):
         body = [words(100 * k + j, 30) for j in range(4)]
         texts += ["\n".join([SHARED, *body]), "\n".join([SHARED, *body[:3], body[3] + " more"])]
     assert all(len(lines) == 4 for lines in dropped(spark, texts).values())
+
+
+def test_long_passages_need_fewer_documents(spark):
+    texts, kept = [], []
+    for n_tokens, n_documents, goes in ((60, 2, True), (40, 3, True), (25, 4, True), (40, 2, False), (8, 4, False)):
+        passage = words(7000 + 10 * n_tokens + n_documents, n_tokens)
+        for _ in range(n_documents):
+            texts.append("\n".join([words(len(texts), 30), passage, words(900 + len(texts), 30)]))
+            kept.append(2 if goes else 3)
+    got = dropped(spark, texts)
+    assert [len(got[k]) for k in range(len(texts))] == kept
+
+
+def test_passages_of_two_near_copies_stay(spark):
+    lines = [words(k, 60) for k in range(8)]
+    got = dropped(spark, ["\n".join(lines), "\n".join([*lines, words(99, 40)])])
+    assert len(got[0]) == 8 and len(got[1]) == 9
