@@ -1,7 +1,7 @@
 """Toxicity by a learned lexicon: Levenshtein automata over its trie find misspelled terms, their context tells quotes from abuse."""
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,13 @@ MOST_LABELLED = 200_000
 #: Words before and after a term that its context score looks at.
 CONTEXT = 4
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
+#: Terms of this many letters allow one edit (a swap of neighbours is one too) in words that no clean labelled document has.
+SHORT = (4, 5)
+#: A digit or sign that stands before a letter, as in ``idi0t``; ``SIGNS`` may replace letters.
+SIGNS = "0-9_@$!|*€"
+SIGN = re.compile(rf"[{SIGNS}]+(?=[^\W\d_])", re.UNICODE)
+SPELLED = re.compile(rf"(?:[^\W\d_]|[{SIGNS}])+", re.UNICODE)
+LONGEST_SPELLED = 64
 # Marks that open or close a quote, and words that report speech.
 QUOTES = '"“”„«»‘’'
 REPORTING = frozenset("said says say called calls call wrote writes quote quoted quotes word term dijo dice dit disait sagte sagt".split())
@@ -113,37 +120,103 @@ class Automaton:
         return self.found[state]
 
 
+def _neighbour(a: str, b: str) -> bool:
+    """One letter put in, left out or replaced, or two neighbours swapped."""
+    if len(a) > len(b):
+        a, b = b, a
+    k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    if len(a) < len(b):
+        return len(b) - len(a) == 1 and a[k:] == b[k + 1:]
+    return k < len(a) and (a[k + 1:] == b[k + 1:] or a[k:k + 2] == b[k:k + 2][::-1] and a[k + 2:] == b[k + 2:])
+
+
+def _left_out(word: str) -> set[str]:
+    return {word, *(word[:k] + word[k + 1:] for k in range(len(word)))}
+
+
+class Lexicon(dict):
+    """Terms with their weights; ``ordinary`` are the words of clean documents that are one edit from a short term."""
+
+    ordinary: frozenset = frozenset()
+
+
+class Matcher:
+    """What the automaton finds, and the misspellings of short terms: a term and a word one edit apart have a common form with one letter left out."""
+
+    def __init__(self, terms: Iterable[str], ordinary: frozenset = frozenset()):
+        self.automaton, self.ordinary = Automaton(list(terms)), ordinary
+        self.forms: dict[str, list[str]] = {}
+        for term in sorted(terms):
+            if not term.endswith("*") and len(term) in SHORT:
+                for form in _left_out(term):
+                    self.forms.setdefault(form, []).append(term)
+
+    def misspelled(self, word: str) -> tuple[str, int] | None:
+        if not SHORT[0] - 1 <= len(word) <= SHORT[1] + 1 or word in self.ordinary:
+            return None
+        near = {t for form in _left_out(word) for t in self.forms.get(form, ()) if _neighbour(t, word)}
+        return (min(near), 1) if near else None
+
+    def match(self, word: str) -> tuple[str, int] | None:
+        return self.automaton.match(word) or self.misspelled(word)
+
+    def spelled_with_signs(self, text: str) -> list[tuple[int, int, str, int]]:
+        """Places, term and edits of words with digits or signs in them that are a term's misspelling; trailing signs are punctuation."""
+        found, end = [], 0
+        for sign in SIGN.finditer(text):
+            if sign.start() < end:
+                continue
+            begin = sign.start()
+            while begin > end and sign.start() - begin < LONGEST_SPELLED and SPELLED.fullmatch(text[begin - 1]):
+                begin -= 1
+            end = SPELLED.match(text, begin).end()
+            word = re.sub(rf"[{SIGNS}]+$", "", text[begin:end])
+            match = self.match(word) if not WORD.fullmatch(word) else None
+            if match and not match[0].endswith("*"):
+                found.append((begin, begin + len(word), *match))
+        return found
+
+
 FEATURES = ["any", "hits", "density", "edited", "quoted", "weight", "distinct", "stems"]
 
 
-def features(text: str | None, automaton: Automaton, weights: dict[str, float], known: dict[str, tuple | None]) -> list[float]:
+def features(text: str | None, matcher: Matcher, weights: dict[str, float], known: dict[str, tuple | None]) -> list[float]:
     """The document's numbers, in the order of ``FEATURES``; all 0 without a match."""
     text = (text or "").lower()
     words = WORD.findall(text)
     fresh = set(words).difference(known)
     for word in fresh:
-        known[word] = automaton.match(word) if len(word) <= 64 else None
-    if not any(map(known.__getitem__, set(words))):
+        known[word] = matcher.match(word)
+    signed = matcher.spelled_with_signs(text)
+    hit = bool(signed) or any(map(known.__getitem__, set(words)))
+    matches = [(m.start(), m.end(), known[m.group()]) for m in WORD.finditer(text)] if hit else []
+    for word in fresh:
+        if len(word) > LONGEST_SPELLED:  # long words are read, but not kept
+            del known[word]
+    if not hit:
         return [0.0] * len(FEATURES)
+    if signed:  # such a word takes the place of its pieces
+        inside = [False] * (len(text) + 1)
+        for begin, end, *_ in signed:
+            inside[begin:end] = [True] * (end - begin)
+        matches = sorted([m for m in matches if not inside[m[0]]] + [(begin, end, (term, edits)) for begin, end, term, edits in signed])
     hits = edited = quoted = stems = 0.0
     top, terms = 0.0, set()
-    spans = list(WORD.finditer(text))
-    for k, span in enumerate(spans):
-        match = known[span.group()]
+    for k, (start, stop, match) in enumerate(matches):
         if not match:
             continue
         term, edits = match
-        begin, end = spans[max(0, k - CONTEXT)].start(), spans[min(len(spans) - 1, k + CONTEXT)].end()
-        before, after = text[begin:span.start()], text[span.end():end]
+        begin, end = matches[max(0, k - CONTEXT)][0], matches[min(len(matches) - 1, k + CONTEXT)][1]
+        before, after = text[begin:start], text[stop:end]
         in_quotes = any(q in before for q in QUOTES) and any(q in after for q in QUOTES)
-        reported = any(s.group() in REPORTING for s in spans[max(0, k - CONTEXT):k])
+        reported = any(text[m[0]:m[1]] in REPORTING for m in matches[max(0, k - CONTEXT):k])
         hits += 1
         edited += edits > 0
         stems += term.endswith("*")
         quoted += in_quotes or reported
         top = max(top, weights[term])
         terms.add(term)
-    return [1.0, np.log1p(hits), np.log1p(100 * hits / len(words)), edited / hits, quoted / hits, top, np.log1p(len(terms)), stems / hits]
+    return [1.0, np.log1p(hits), np.log1p(100 * hits / len(matches)), edited / hits, quoted / hits, top, np.log1p(len(terms)), stems / hits]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 25) -> np.ndarray:
@@ -181,7 +254,23 @@ def learn_terms(labelled: DataFrame) -> dict[str, float]:
         .orderBy(F.desc(F.col("toxic") / (F.col("toxic") + F.col("clean") + 2)), "term").limit(MOST_TERMS).collect()
     )
     n_toxic, n_clean = toxic_only.count() + 1, labelled.filter("toxic = 0").count() + 1
-    return {r["term"]: float(np.log((r["toxic"] + 0.5) / n_toxic) - np.log((r["clean"] + 0.5) / n_clean)) for r in found}
+    lexicon = Lexicon({r["term"]: float(np.log((r["toxic"] + 0.5) / n_toxic) - np.log((r["clean"] + 0.5) / n_clean)) for r in found})
+    lexicon.ordinary = _ordinary(labelled.filter("toxic = 0"), lexicon)
+    return lexicon
+
+
+def _ordinary(clean: DataFrame, terms: dict[str, float]) -> frozenset:
+    """Words of clean documents that are one edit from a short term; only these reach the driver."""
+    sent = clean.sparkSession.sparkContext.broadcast([t for t in terms if not t.endswith("*") and len(t) in SHORT])
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(sent.value)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([w for w in batch.column(0).to_pylist() if matcher.misspelled(w)], pa.string())], names=["word"])
+
+    words = clean.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word"))
+    words = words.filter(F.length("word").between(SHORT[0] - 1, SHORT[1] + 1)).distinct()
+    return frozenset(r["word"] for r in words.mapInArrow(near, "word string").collect())
 
 
 _kept: dict[int, tuple] = {}
@@ -193,14 +282,14 @@ def _measured(docs: DataFrame, terms: dict[str, float], *keep: str) -> DataFrame
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if id(sent.value) not in _kept:
             _kept.clear()
-            _kept[id(sent.value)] = (sent.value, Automaton(list(sent.value)), {})
-        weights, automaton, known = _kept[id(sent.value)]
+            _kept[id(sent.value)] = (sent.value, Matcher(sent.value, getattr(sent.value, "ordinary", frozenset())), {})
+        weights, matcher, known = _kept[id(sent.value)]
         for batch in batches:
             rows = []
             for text in batch.column(batch.num_columns - 1):
                 if len(known) > 500_000:
                     known.clear()
-                rows.append(features(text.as_py(), automaton, weights, known))
+                rows.append(features(text.as_py(), matcher, weights, known))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in range(batch.num_columns - 1)] + [pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
 
