@@ -1,5 +1,6 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from countcast.llm.hard_negatives import HIGHEST, LOWEST, N_NEGATIVES, N_POSITIVES
 from countcast.llm.templates import DEPTH, LEAST_CONSTANT, LEAST_DOCUMENTS, LEAST_SHARE, LEAST_TOKENS
 
 _LEAD = ", ".join(f"tokens[{k + 1}]" for k in range(DEPTH))
@@ -40,4 +41,28 @@ SELECT k.doc_id, CASE WHEN k.text IS NULL THEN NULL ELSE coalesce(x.text, '') EN
 FROM keyed k LEFT JOIN kept x ON k.doc = x.doc
 """
 
-ORACLE = {"op7_line_templates": LINE_TEMPLATES}
+HARD_NEGATIVES = f"""
+WITH used AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row AS other, b.vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM used a JOIN used b ON a.vec_id % 50 = 0 AND a.row <> b.row),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, other) AS positive_rank FROM scored WHERE same)
+  WHERE positive_rank <= {N_POSITIVES}),
+negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score, p.positive_rank,
+         row_number() OVER (PARTITION BY p.anchor, p.positive_rank ORDER BY n.score DESC, n.vec_id, n.other) AS rank
+  FROM positives p JOIN scored n
+    ON p.anchor = n.anchor AND NOT n.same AND {LOWEST} * p.score <= 100 * n.score AND 100 * n.score <= {HIGHEST} * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score,
+       CAST(positive_rank AS INTEGER) AS positive_rank
+FROM negatives WHERE rank <= {N_NEGATIVES}
+"""
+
+ORACLE = {"op7_line_templates": LINE_TEMPLATES, "op12_hard_negatives": HARD_NEGATIVES}

@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.llm import context_tree, minhash, mixing, neighbours, packing, pages, phrases, templates, toxicity, wavelet
+from countcast.llm import (
+    context_tree, hard_negatives, minhash, mixing, neighbours, packing, pages, phrases, simhash, templates, toxicity, wavelet, whitening,
+)
 from countcast.llm.common import read_documents, read_table, shuffle_partitions, words_in
 
 
@@ -59,6 +61,18 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(shards)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
@@ -70,4 +84,7 @@ QUERIES = {
     "op8_phrases": op8_phrases,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_wavelet": op10_wavelet,
+    "op11_simhash": op11_simhash,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
