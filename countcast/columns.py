@@ -55,3 +55,17 @@ MODEL_SCHEMA = T.StructType([
     T.StructField("intercept", T.DoubleType(), False),
     T.StructField("n_rows", T.LongType(), False),
 ])
+
+# A row per node of each tree. Round -1 holds the constant that a category starts from. Below node k lie 2 k + 1 (values up to the threshold,
+# or in left_values) and 2 k + 2; a node without feature is a leaf, whose value adds to the logarithm of the expected count.
+TREE_SCHEMA = T.StructType([
+    T.StructField(MCC, T.IntegerType(), False),
+    T.StructField("round", T.IntegerType(), False),
+    T.StructField("node", T.IntegerType(), False),
+    T.StructField("feature", T.StringType(), True),
+    T.StructField("threshold", T.DoubleType(), True),
+    T.StructField("left_values", T.ArrayType(T.DoubleType()), True),
+    T.StructField("value", T.DoubleType(), True),
+    T.StructField("n_rows", T.LongType(), True),
+    T.StructField("gain", T.DoubleType(), True),
+])

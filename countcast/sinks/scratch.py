@@ -1,5 +1,6 @@
 """Intermediate tables that cut a long lineage."""
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,3 +29,12 @@ def stored(df: DataFrame, name: str = "stored", *partitions: str) -> DataFrame:
     else:
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``stored`` once what was computed from them is stored too."""
+    for table in tables:
+        jvm, settings = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(settings).delete(path, True)

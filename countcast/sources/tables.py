@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.columns import DAILY_SCHEMA, MCC, MODEL_SCHEMA
+from countcast.columns import DAILY_SCHEMA, MCC, MODEL_SCHEMA, TREE_SCHEMA
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
@@ -14,6 +14,10 @@ def read_models(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MODEL_SCHEMA).parquet(path)
 
 
+def read_trees(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(TREE_SCHEMA).parquet(path)
+
+
 def read_features(spark: SparkSession, path: str, mcc: int | None = None) -> DataFrame:
     """A table stored by category; with ``mcc`` only that category's files are opened."""
     features = spark.read.parquet(path)

@@ -1,6 +1,9 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
+from countcast.operators.boosting import DAILY
 from countcast.operators.checks import StaleDataError
 from countcast.operators.counts import daily_counts
 from countcast.plans.backfill import backfill
@@ -55,6 +58,15 @@ def test_daily_run_stops_on_stale_data(spark, folder, inputs):
         run_for("2024-03-01", fx.events_raw(spark, SF), fx.fixed_models(spark), *inputs, folder)
 
 
+def test_trees_in_the_jobs(spark, folder, inputs):
+    raw = fx.events_raw(spark, SF)
+    models = train_for("2024-01-30", raw, folder, current_days=10, trees=replace(DAILY, rounds=2, depth=2, min_rows=20))
+    assert models.filter("round = 1").count() > 0
+    run = run_for(fx.EVENTS_DAY, raw, models, *inputs, folder)
+    assert run.predictions.count() > 0 and run.predictions.filter("prediction IS NULL OR prediction <= 0").isEmpty()
+    assert run.unscorable_mccs.isEmpty() and run.rejected_predictions.isEmpty()
+
+
 def test_training_then_backfill(spark, folder, inputs):
     raw = fx.events_raw(spark, SF)
     models = train_for("2024-01-20", raw, folder, current_days=10)

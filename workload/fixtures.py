@@ -7,6 +7,7 @@ Each input exists twice: as a Spark DataFrame and as SQL text for the checking e
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from countcast.columns import TREE_SCHEMA
 
 SHIPPING_DAY = "2001-06-30"
 DOUBLED_FROM_YEAR = 1998
@@ -220,3 +221,25 @@ MODELS_SQL = """
 SELECT mcc, CAST(b0 AS DOUBLE) AS b0, CAST(b_ma7 AS DOUBLE) AS b_ma7, CAST(b_lag1 AS DOUBLE) AS b_lag1
 FROM (VALUES {}) AS t(mcc, b0, b_ma7, b_lag1)
 """.format(", ".join(str(m) for m in MODELS))
+
+
+# Trees of two categories, as (mcc, round, node, feature, threshold, left values, value).
+TREES = [
+    (6300, -1, 0, None, None, None, 0.9), (5411, -1, 0, None, None, None, 0.2), (0, -1, 0, None, None, None, 1.0),
+    (6300, 0, 0, "lag_1", 1.0, None, None), (6300, 0, 1, None, None, None, -0.35), (6300, 0, 2, "ma_7", 0.5, None, None),
+    (6300, 0, 5, None, None, None, 0.25), (6300, 0, 6, None, None, None, 0.75),
+    (6300, 1, 0, "dow", None, [1.0, 4.0, 7.0], None), (6300, 1, 1, "merchant_id", 40.0, None, None), (6300, 1, 2, None, None, None, 0.125),
+    (6300, 1, 3, None, None, None, -0.0625), (6300, 1, 4, None, None, None, 0.5),
+    (5411, 0, 0, "std_7", 0.6, None, None), (5411, 0, 1, None, None, None, 0.1), (5411, 0, 2, None, None, None, -0.2),
+]
+
+TREE_SCORE_SQL = """
+CASE r.mcc
+  WHEN 6300 THEN exp(0.9 + CASE WHEN r.lag_1 <= 1 THEN -0.35 WHEN r.ma_7 <= 0.5 THEN 0.25 ELSE 0.75 END
+                     + CASE WHEN r.dow NOT IN (1, 4, 7) THEN 0.125 WHEN r.merchant_id <= 40 THEN -0.0625 ELSE 0.5 END)
+  WHEN 5411 THEN exp(0.2 + CASE WHEN r.std_7 <= 0.6 THEN 0.1 ELSE -0.2 END) END"""
+
+
+def fixed_trees(spark: SparkSession) -> DataFrame:
+    rows = [(*t, 1, None) for t in TREES]
+    return spark.createDataFrame(rows, TREE_SCHEMA)

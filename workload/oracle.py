@@ -4,6 +4,11 @@ Written from the meaning of each operator and not from its Spark plan: the calen
 series joined to the counts, and moving means are sliding frames.
 """
 
+from dataclasses import replace
+
+from countcast.columns import CATEGORICAL_FEATURES, FEATURES
+from countcast.operators.boosting import DAILY, SINGLE_TREE, Settings
+from countcast.operators.sampling import LEVELS, LOWEST_LEVEL, OTHER_SHARE, SAMPLE_SEED, TOP_SHARE
 from workload import fixtures as fx
 
 SHIPPING, EVENTS = fx.SHIPPING_DAY, fx.EVENTS_DAY
@@ -163,6 +168,59 @@ range_rows AS (
   WHERE day BETWEEN DATE '{fx.BACKTEST_DAYS[0]}' AND DATE '{fx.BACKTEST_DAYS[1]}' AND known),
 models AS ({fx.MODELS_SQL}),""" + _scored("range_rows")
 
+# Training rows in long form, a row per feature, and their bins.
+TRAINING_VALUES = _features(EVENT_ROWS, fx.BACKTEST_DAYS[1]) + f""",
+long AS (
+  SELECT mcc, total, unnest([{", ".join(f"'{n}'" for n in FEATURES)}]) AS feature,
+         unnest([{", ".join(f"CAST({'round(std_7, 6)' if n == 'std_7' else n} AS DOUBLE)" for n in FEATURES)}]) AS value
+  FROM features)"""
+
+
+def _bins(max_bin: int, categorical: list[str]) -> str:
+    single = ", ".join(f"'{n}'" for n in categorical)
+    return f""",
+counts AS (SELECT mcc, feature, value, count(*) AS n FROM long GROUP BY ALL),
+running AS (
+  SELECT *, sum(n) OVER (PARTITION BY mcc, feature ORDER BY value) - n AS rows_below, row_number() OVER (PARTITION BY mcc, feature ORDER BY value) - 1 AS values_below,
+         sum(n) OVER (PARTITION BY mcc, feature) AS all_rows, count(*) OVER (PARTITION BY mcc, feature) AS all_values,
+         row_number() OVER (PARTITION BY mcc, feature ORDER BY n DESC, value) - 1 AS place
+  FROM counts),
+cut AS (
+  SELECT mcc, feature, value, n,
+         CASE WHEN feature IN ({single}) THEN place WHEN all_values <= {max_bin} THEN values_below ELSE rows_below * {max_bin} // all_rows END AS cut
+  FROM running WHERE feature NOT IN ({single}) OR place < {max_bin}),
+bins AS (
+  SELECT mcc, feature, CAST(row_number() OVER (PARTITION BY mcc, feature ORDER BY cut) - 1 AS INTEGER) AS bin, min(value) AS low, max(value) AS high,
+         CAST(sum(n) AS BIGINT) AS n_rows
+  FROM cut GROUP BY mcc, feature, cut)"""
+
+
+# Gradient and second derivative of cells of n rows with a sum of counts, at the logarithm of the category's mean.
+def _derivatives(n: str, sum_y: str, power: float = DAILY.power) -> tuple[str, str]:
+    falling, rising = f"{sum_y} * exp({1 - power} * s0)", f"{n} * exp({2 - power} * s0)"
+    return f"({rising} - {falling})", f"({2 - power} * {rising} - {1 - power} * {falling})"
+
+
+def _gain(g: str, h: str, s: Settings) -> str:
+    return f"(power(greatest(abs({g}) - {s.l1}, 0), 2) / ({h} + {s.l2}))"
+
+
+def _step(g: str, h: str, s: Settings) -> str:
+    return f"(-{s.learning_rate} * sign({g}) * greatest(abs({g}) - {s.l1}, 0) / ({h} + {s.l2}))"
+
+
+_G, _H = _derivatives("n", "sy")
+_CUT_COLUMNS = f"""round({_gain('gl', 'hl', DAILY)} + {_gain('gr', 'hr', DAILY)} - {_gain('(gl + gr)', '(hl + hr)', DAILY)}, 6) AS gain,
+  CAST(least(nl, nr) AS BIGINT) AS fewer_rows, CAST(greatest(nl, nr) AS BIGINT) AS more_rows,
+  round(least({_step('gl', 'hl', DAILY)}, {_step('gr', 'hr', DAILY)}), 6) AS low_value,
+  round(greatest({_step('gl', 'hl', DAILY)}, {_step('gr', 'hr', DAILY)}), 6) AS high_value"""
+FREE = replace(DAILY, l1=0.0, l2=0.0)
+_FREE_COLUMNS = f"""round({_gain('gl', 'hl', FREE)} + {_gain('gr', 'hr', FREE)} - {_gain('(gl + gr)', '(hl + hr)', FREE)}, 6) AS gain,
+  CAST(least(nl, nr) AS BIGINT) AS fewer_rows, CAST(greatest(nl, nr) AS BIGINT) AS more_rows,
+  round(least({_step('gl', 'hl', FREE)}, {_step('gr', 'hr', FREE)}), 6) AS low_value,
+  round(greatest({_step('gl', 'hl', FREE)}, {_step('gr', 'hr', FREE)}), 6) AS high_value"""
+_SINGLE = ", ".join(f"'{n}'" for n in CATEGORICAL_FEATURES)
+
 ORACLE: dict[str, str] = {
     "clean_daily_counts": f"WITH {_daily(DENIED)} {DAILY_OUT}",
     "transactions_daily_counts": f"WITH {_daily(fx.TRANSACTIONS_RAW_SQL)} {DAILY_OUT}",
@@ -270,6 +328,62 @@ ORACLE: dict[str, str] = {
     "train_tweedie_cell_means": f"""
         WITH {_features(EVENT_ROWS, fx.BACKTEST_DAYS[1])}
         SELECT mcc, CAST(is_weekend AS INTEGER) AS is_weekend, round(avg(total), 6) AS mean_total FROM features GROUP BY ALL""",
+    "tree_feature_bins": f"""
+        WITH {TRAINING_VALUES}{_bins(SINGLE_TREE.max_bin, [*CATEGORICAL_FEATURES, "merchant_id"])}
+        SELECT mcc, feature, bin, round(low, 6) AS low, round(high, 6) AS high, n_rows FROM bins""",
+    "train_tree_first_cut": f"""
+        WITH {TRAINING_VALUES}{_bins(DAILY.max_bin, CATEGORICAL_FEATURES)},
+        starts AS (SELECT mcc, ln(avg(total)) AS s0 FROM features GROUP BY mcc),
+        cells AS (
+          SELECT b.mcc, b.feature, b.bin, count(*) AS n, sum(l.total) AS sy, any_value(s0) AS s0
+          FROM long l JOIN bins b ON b.mcc = l.mcc AND b.feature = l.feature AND l.value BETWEEN b.low AND b.high JOIN starts s ON s.mcc = l.mcc
+          GROUP BY b.mcc, b.feature, b.bin),
+        placed AS (
+          SELECT *, {_G} AS g, {_H} AS h, CASE WHEN feature IN ({_SINGLE}) THEN {_G} / ({_H} + {DAILY.l2}) ELSE bin END AS place FROM cells),
+        sides AS (
+          SELECT mcc, sum(n) OVER w AS nl, sum(n) OVER f - sum(n) OVER w AS nr, sum(g) OVER w AS gl, sum(g) OVER f - sum(g) OVER w AS gr,
+                 sum(h) OVER w AS hl, sum(h) OVER f - sum(h) OVER w AS hr
+          FROM placed WINDOW w AS (PARTITION BY mcc, feature ORDER BY place, bin), f AS (PARTITION BY mcc, feature)),
+        cuts AS (SELECT mcc, {_CUT_COLUMNS} FROM sides WHERE nl >= {DAILY.min_rows} AND nr >= {DAILY.min_rows})
+        SELECT * FROM cuts WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY mcc ORDER BY gain DESC, fewer_rows) = 1""",
+    "train_tree_category_cut": f"""
+        WITH {_dense(DENIED, SHIPPING)},
+        starts AS (SELECT mcc, ln(avg(total)) AS s0 FROM dense GROUP BY mcc),
+        cells AS (SELECT d.mcc, CAST(month(day) AS INTEGER) AS month, count(*) AS n, sum(total) AS sy, any_value(s0) AS s0 FROM dense d JOIN starts s ON s.mcc = d.mcc GROUP BY ALL),
+        placed AS (SELECT *, {_G} AS g, {_H} AS h FROM cells),
+        sets AS (SELECT unnest(range(1, 2048)) AS months),
+        sides AS (
+          SELECT mcc, months, coalesce(sum(n) FILTER (inside), 0) AS nl, coalesce(sum(n) FILTER (NOT inside), 0) AS nr, sum(g) FILTER (inside) AS gl, sum(g) FILTER (NOT inside) AS gr,
+                 sum(h) FILTER (inside) AS hl, sum(h) FILTER (NOT inside) AS hr
+          FROM (SELECT *, (months >> (month - 1)) & 1 = 1 AS inside FROM placed CROSS JOIN sets) GROUP BY mcc, months),
+        cuts AS (SELECT mcc, {_FREE_COLUMNS} FROM sides WHERE nl >= 1 AND nr >= 1)
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY mcc ORDER BY gain DESC, fewer_rows) = 1""",
+    "train_tree_cell_steps": f"""
+        WITH {_features(EVENT_ROWS, fx.BACKTEST_DAYS[1])},
+        starts AS (SELECT mcc, ln(avg(total)) AS s0 FROM features GROUP BY mcc),
+        cells AS (SELECT f.mcc, is_weekend, count(*) AS n, sum(total) AS sy, any_value(s0) AS s0 FROM features f JOIN starts s ON s.mcc = f.mcc GROUP BY ALL)
+        SELECT mcc, is_weekend, round(exp(s0 - {_G} / {_H}), 6) AS expected FROM cells WHERE mcc NOT IN (-1, 0)""",
+    "one_side_sampled_rows": f"""
+        WITH {_features(EVENT_ROWS, fx.BACKTEST_DAYS[1])},
+        sized AS (
+          SELECT *, CASE WHEN abs(total - ma_7) > 0 THEN floor(log2(abs(total - ma_7)) * {LEVELS}) ELSE {LOWEST_LEVEL} END AS level FROM features),
+        ranked AS (SELECT *, rank() OVER (PARTITION BY mcc ORDER BY level DESC) AS place, count(*) OVER (PARTITION BY mcc) AS all_rows FROM sized),
+        limits AS (
+          SELECT mcc, level AS top_level, n AS top, all_rows FROM (
+            SELECT mcc, level, any_value(all_rows) AS all_rows, any_value(place) + count(*) - 1 AS n FROM ranked GROUP BY mcc, level)
+          WHERE n >= ceil(all_rows * {TOP_SHARE}) QUALIFY row_number() OVER (PARTITION BY mcc ORDER BY level DESC) = 1),
+        drawn AS (
+          SELECT r.* EXCLUDE (top), r.all_rows - top AS other_rows, least(r.all_rows * {OTHER_SHARE}, r.all_rows - top) AS wanted,
+                 CAST('0x' || substr(md5(CAST(merchant_id AS VARCHAR) || '|' || CAST(day AS VARCHAR) || '|{SAMPLE_SEED}'), 1, 8) AS BIGINT) / 4294967296.0 AS place01
+          FROM (SELECT r.*, top_level, top FROM ranked r JOIN limits l ON l.mcc = r.mcc) r),
+        kept AS (
+          SELECT mcc, total, CASE WHEN level >= top_level THEN 1.0 ELSE other_rows / wanted END AS weight
+          FROM drawn WHERE level >= top_level OR place01 * other_rows < wanted)
+        SELECT mcc, count(*) AS kept_rows, CAST(sum(total) AS BIGINT) AS kept_total, round(sum(CAST(weight AS DOUBLE)), 6) AS weight FROM kept GROUP BY mcc""",
+    "score_fixed_trees": f"""
+        WITH {PREDICTION_ROWS}
+        SELECT mcc, merchant_id, CAST(day AS VARCHAR) AS day, round(prediction, 6) AS prediction
+        FROM (SELECT *, round({fx.TREE_SCORE_SQL}, 10) AS prediction FROM rows_to_score r WHERE mcc IN (6300, 5411))""",
     "training_category_rows": f"""
         WITH {_dense(DENIED, SHIPPING)} SELECT mcc, count(*) AS n_rows FROM dense GROUP BY mcc""",
     "sampled_training_rows": f"""

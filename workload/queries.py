@@ -7,17 +7,20 @@ integers that may be NULL as text.
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countcast.columns import HISTORY_FEATURES, TOTAL
+from countcast.columns import CATEGORICAL_FEATURES, FEATURES, HISTORY_FEATURES, MERCHANT, TOTAL
 from countcast.functions.dates import as_date, calendar_columns
 from countcast.functions.messages import decode_message
 from countcast.operators.alerts import (
     HISTORY_DAYS, alert_charts, outbox, prediction_table, with_merchant, with_notify,
 )
 from countcast.operators.backtest import forecast_errors, forecast_range
+from countcast.operators.bins import fit_bins
+from countcast.operators.boosting import FIRST_CUT, SINGLE_TREE, fit_tree_models
 from countcast.operators.calendar import dense_calendar, recent_calendar
 from countcast.operators.checks import freshness
 from countcast.operators.counts import daily_counts, first_seen, rejected_events
@@ -26,7 +29,7 @@ from countcast.operators.history import expanding_report, last_rows, with_histor
 from countcast.operators.merchants import (
     best_merchant_rows, merchant_attributes, scoring_merchants, with_account_id,
 )
-from countcast.operators.sampling import calendar_rows, thin_large_categories
+from countcast.operators.sampling import calendar_rows, one_side_sample, thin_large_categories
 from countcast.operators.scoring import score, unscorable_models, usable
 from countcast.operators.training import POISSON_POWER, fit_count_models
 from countcast.operators.trees import fit_pooled_trees, score_trees
@@ -287,6 +290,57 @@ def train_gbt_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(score_trees(rows, model).select("mcc", "merchant_id", "day", "expected"))
 
 
+# Trees
+
+def _rounded_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows whose deviations are rounded, since engines differ in their last digits, which part equal values."""
+    rows = feature_table(_events_daily(spark, sf_dir), fx.BACKTEST_DAYS[1])
+    return stored(rows.withColumn("std_7", F.round("std_7", 6)), "training")
+
+
+def tree_feature_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bins of the single-tree settings; merchants as categories show how rare values are left out."""
+    return _shown(fit_bins(_rounded_training_rows(spark, sf_dir), FEATURES, [*CATEGORICAL_FEATURES, MERCHANT], SINGLE_TREE.max_bin))
+
+
+def _first_cuts(models: DataFrame) -> DataFrame:
+    """Gain, rows and Newton steps of the two leaves, whichever side they are on."""
+    leaves = models.filter("round = 0 AND node > 0").groupBy("mcc").agg(
+        F.min("n_rows").alias("fewer_rows"), F.max("n_rows").alias("more_rows"), F.min("value").alias("low_value"), F.max("value").alias("high_value"))
+    return _shown(models.filter("round = 0 AND node = 0").select("mcc", "gain").join(leaves, "mcc"))
+
+
+def train_tree_first_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first cut of the daily settings, from all rows and features."""
+    return _first_cuts(fit_tree_models(_rounded_training_rows(spark, sf_dir), settings=FIRST_CUT))
+
+
+def train_tree_category_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best set of months, without penalties, which SQL finds by trying all sets."""
+    months = dense_calendar(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY).withColumn("month", F.month("day"))
+    settings = replace(FIRST_CUT, l1=0.0, l2=0.0, min_rows=1)
+    return _first_cuts(fit_tree_models(stored(months, "months"), ["month"], ["month"], settings))
+
+
+def train_tree_cell_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round on one flag: the forecast of a category's days with and without it is one Newton step from the mean."""
+    rows = _rounded_training_rows(spark, sf_dir)
+    models = fit_tree_models(rows, ["is_weekend"], ["is_weekend"], replace(FIRST_CUT, learning_rate=1.0, l1=0.0, l2=0.0, min_rows=1))
+    cells = rows.select("mcc", "is_weekend").distinct()
+    return _shown(score(cells, models, ["is_weekend"]).select("mcc", "is_weekend", "expected"))
+
+
+def one_side_sampled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept by the size of their error against the weekly mean."""
+    kept = one_side_sample(_training_rows(spark, sf_dir), F.abs(F.col(TOTAL) - F.col("ma_7")), [MERCHANT, "day"])
+    return _shown(kept.groupBy("mcc").agg(F.count(F.lit(1)).alias("kept_rows"), F.sum(TOTAL).alias("kept_total"), F.sum("weight").alias("weight")))
+
+
+def score_fixed_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = usable(score(prediction_rows(_events_daily(spark, sf_dir), fx.EVENTS_DAY), fx.fixed_trees(spark)))
+    return _shown(scored.select("mcc", "merchant_id", "day", F.col("prediction").cast("double").alias("prediction")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         clean_daily_counts, transactions_daily_counts, year_shard_union_counts, rejected_event_counts,
@@ -296,5 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prediction_row_features, score_fixed_model, unscorable_mccs, alerts, alert_chart, alert_messages,
         backtest_errors, forecast_days, training_category_rows, sampled_training_rows,
         train_tweedie_glm, train_tweedie_cell_means, train_poisson_pooled, train_gbt_pooled,
+        tree_feature_bins, train_tree_first_cut, train_tree_category_cut, train_tree_cell_steps, one_side_sampled_rows,
+        score_fixed_trees,
     ]
 }
