@@ -49,12 +49,31 @@ def alert_charts(alerts: DataFrame, dense: DataFrame, day: dt.date | str, days:
         .groupBy(*GROUP)
         .agg(F.array_sort(F.collect_list(F.struct(DAY, TOTAL))).alias("points"))
     )
+    return _with_chart(alerts.join(recent, GROUP))
+
+
+def alert_charts_of_days(alerts: DataFrame, dense: DataFrame, days: int = HISTORY_DAYS) -> DataFrame:
+    """``alert_charts`` of alerts of any days, each with the days before its own, in one job.
+
+    Each alert asks for its ``days`` days before, so the join has equal keys and makes that many rows per alert, however
+    long the range of days and however many alerts a merchant has.
+    """
+    before = F.explode(F.sequence(F.date_sub(DAY, days), F.date_sub(DAY, 1), F.expr("interval 1 day"))).alias("past")
+    points = (
+        alerts.select(*GROUP, DAY, before)
+        .join(dense.select(*GROUP, F.col(DAY).alias("past"), TOTAL), [*GROUP, "past"])
+        .groupBy(*GROUP, DAY)
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("past").alias(DAY), TOTAL))).alias("points"))
+    )
+    return _with_chart(alerts.join(points, [*GROUP, DAY]))
+
+
+def _with_chart(alerts: DataFrame) -> DataFrame:
     labels = F.transform("points", lambda p: chart_label(p[DAY]))
     values = F.transform("points", lambda p: p[TOTAL].cast("string"))
     return (
         alerts
         .withColumn("rounded", F.bround("expected", 0).cast("bigint"))
-        .join(recent, GROUP)
         .withColumns({
             "labels": F.array_join(F.array_append(labels, chart_label(F.col(DAY))), ","),
             "data": F.array_join(F.array_append(values, F.col("rounded").cast("string")), ","),

@@ -17,12 +17,13 @@ def _normalised(raw: DataFrame, code: str, mcc: str, ts: str) -> DataFrame:
         MERCHANT: code_text(code),
         DAY: event_day(ts, is_text),
         MCC: mcc_number(mcc),
-    }).filter(F.col(MERCHANT) != "0")
+    }).filter(F.col(MERCHANT).isNull() | (F.col(MERCHANT) != "0"))
 
 
 def _reject_reason():
     return (
-        F.when(merchant_number(MERCHANT).isNull(), "merchant code is not a number")
+        F.when(F.coalesce(MERCHANT, F.lit("")) == "", "no merchant code")
+        .when(merchant_number(MERCHANT).isNull(), "merchant code is not a number")
         .when(F.col(MCC).isNull(), "category code is not a number")
         .when(F.col(DAY).isNull(), "no event day")
     )
@@ -31,7 +32,7 @@ def _reject_reason():
 def clean_events(raw: DataFrame, code: str = MERCHANT, mcc: str = MCC, ts: str = "event_ts") -> DataFrame:
     """Usable events as (merchant_id string, day date, mcc int).
 
-    Drops missing codes and the code "0". Events whose codes or day cannot be read
+    Drops the code "0". Events whose codes are missing or whose codes or day cannot be read
     are left out here and listed by ``rejected_events``.
     """
     return (
@@ -65,6 +66,24 @@ def daily_counts(raw: DataFrame, code: str = MERCHANT, mcc: str = MCC, ts: str =
     )
 
 
+def watched_counts(raw: DataFrame, day: dt.date | str, code: str = MERCHANT, mcc: str = MCC,
+                   ts: str = "event_ts") -> tuple[DataFrame, Observation]:
+    """``daily_counts`` and, once they are written, what its one scan of the events saw: ``events`` (without code "0"), ``rejected``
+    (those that ``rejected_events`` lists) and ``fresh`` (usable ones of the day before ``day``)."""
+    seen = Observation("events")
+    is_usable = F.col("reason").isNull()
+    counts = (
+        _normalised(raw, code, mcc, ts)
+        .select(MERCHANT, DAY, MCC, _reject_reason().alias("reason"))
+        .observe(seen, F.count(F.lit(1)).alias("events"), F.count_if(~is_usable).alias("rejected"),
+                 F.count_if(is_usable & (F.col(DAY) == F.date_sub(day_literal(day), 1))).alias("fresh"))
+        .filter(is_usable)
+        .groupBy(MERCHANT, DAY, MCC)
+        .agg(F.count(F.lit(1)).alias(TOTAL))
+    )
+    return counts, seen
+
+
 def keyed_by_number(daily: DataFrame, until: dt.date | str | None = None) -> DataFrame:
     """Daily counts with the merchant code as bigint, up to and including ``until``.
 

@@ -8,11 +8,13 @@ iteratively reweighted least squares is one Spark aggregation:
 2. every task adds up, per category, the weighted products of its rows (a block of fixed size);
 3. the blocks of a category are summed, and one small ridge system per category is solved.
 
-No step gathers the rows of a category in one place, so a category may hold any share of the data.
+No step gathers the rows of a category in one place, so a category may hold any share of the data. A category whose coefficients
+have settled, or cannot be found, is frozen: later steps read the rows of the others only.
 """
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +37,7 @@ LINEAR_FEATURES = CALENDAR_FEATURES + HISTORY_FEATURES
 MAX_STEPS = 25
 TOLERANCE = 1e-6
 RIDGE = 1e-6
-# Bounds that keep early steps finite; they do not bind at the solution.
+# Bounds that keep early steps finite. A solution that they bind is reported, not returned.
 MAX_LINEAR = 30.0
 MAX_MOVE = 4.0
 
@@ -50,38 +52,90 @@ _STATE = T.StructType([
     T.StructField("beta", T.ArrayType(T.DoubleType())),
     T.StructField("raw", T.ArrayType(T.DoubleType())),
     T.StructField("change", T.DoubleType()),
+    T.StructField("reason", T.StringType()),
 ])
+SINGULAR, NO_NUMBER = "singular system of equations", "coefficients are no numbers"
 
 
 class NotConvergedError(RuntimeError):
-    """A fit that did not settle; its coefficients are no solution."""
+    """No category's fit settled; the coefficients are no solutions."""
+
+
+@dataclass(frozen=True)
+class Fit:
+    """The models of the categories that settled, and ``mcc, reason`` of the others."""
+
+    models: DataFrame
+    unfitted: DataFrame
 
 
 def fit_count_models(features: DataFrame, names: list[str] = LINEAR_FEATURES, power: float = TWEEDIE_POWER,
                      ridge: float = RIDGE, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE,
                      pooled: bool = False) -> DataFrame:
-    """Model table (mcc, feature_names, coefs, intercept, n_rows) fitted on ``features``.
+    """The models of ``fit_categories``; raises ``NotConvergedError`` if there are categories and none of them settles."""
+    fit = fit_categories(features, names, power, ridge, max_steps, tolerance, pooled)
+    if fit.models.isEmpty() and (failed := fit.unfitted.first()):
+        raise NotConvergedError(f"no category settles; {failed[MCC]}: {failed['reason']}")
+    return fit.models
+
+
+def fit_categories(features: DataFrame, names: list[str] = LINEAR_FEATURES, power: float = TWEEDIE_POWER,
+                   ridge: float = RIDGE, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE, pooled: bool = False) -> Fit:
+    """Model table (mcc, feature_names, coefs, intercept, n_rows) fitted on ``features``, and the categories without a model.
 
     ``features`` is scanned once per step, so pass a stored table. ``pooled`` fits one model on all rows
     and gives it to every category. The coefficients pass from step to step as a small stored table: its
     known size lets Spark broadcast it to the rows, and shuffle instead if it ever grew too large.
-    The only value that reaches the driver is the largest change of a step. Raises ``NotConvergedError`` when
-    coefficients still change by ``tolerance`` or more after ``max_steps``, or the change is not a number.
+    A category settles when its coefficients change by less than ``tolerance``. One that does not in ``max_steps`` steps, whose system of
+    equations is singular, or whose solution lies beyond the bounds on the linear predictor, gets a reason; the others go on. What reaches the
+    driver is each category's change; a category code has four digits.
     """
     group = F.lit(0) if pooled else F.col(MCC)
     rows = features.select(
         group.alias("group"), F.col(TOTAL).cast("double").alias("y"), *[F.col(n).cast("double").alias(n) for n in names])
-    state = stored(_start(rows, names, ridge))
+    state = stored(_start(rows, names, ridge), "fit-state")
+    failed = [state.filter("reason IS NOT NULL")]
+    settled = [state.limit(0)]
+    active = [r["group"] for r in state.filter("reason IS NULL").select("group").collect()]
     for _ in range(max_steps):
-        # The change is observed while the step is written, which saves a pass over the new state.
-        seen = Observation()
-        state = stored(_step(rows, state, names, power, ridge).observe(seen, F.max("change").alias("largest")))
-        largest = seen.get["largest"]
-        if rows.isEmpty() or largest is not None and largest < tolerance:
+        if not active:
             break
-    else:
-        raise NotConvergedError(f"coefficients still change by {largest} after {max_steps} steps")
-    return _model_table(state, features, names, pooled)
+        state = stored(_step(rows.filter(F.col("group").isin(active)), state.filter(F.col("group").isin(active)), names, power, ridge), "fit-state")
+        going = F.col("reason").isNull() & ~(F.col("change") < tolerance)
+        failed.append(state.filter("reason IS NOT NULL"))
+        settled.append(state.filter(F.col("reason").isNull() & (F.col("change") < tolerance)))
+        active = [r["group"] for r in state.filter(going).select("group").collect()]
+    late = state.filter(F.col("group").isin(active)).withColumn("reason", F.lit(f"coefficients still change after {max_steps} steps"))
+    solved = stored(_united(settled), "fit-settled")
+    widest = (
+        rows.join(_coefficients(solved, len(names)), "group").groupBy("group")
+        .agg(F.max(F.abs(_linear(names))).alias("widest")).filter(F.col("widest") > MAX_LINEAR)
+    )
+    bound = stored(solved.join(widest.select("group"), "group", "left_semi")
+                   .withColumn("reason", F.lit(f"linear predictor beyond {MAX_LINEAR}")), "fit-bound")
+    models = _model_table(solved.join(bound.select("group"), "group", "left_anti"), features, names, pooled)
+    unfitted = _united([*failed, late, bound]).select(F.col("group").alias(MCC), "reason")
+    if pooled:
+        unfitted = (
+            features.select(MCC).distinct().withColumn("group", F.lit(0))
+            .join(unfitted.withColumnRenamed(MCC, "group"), "group").select(MCC, "reason")
+        )
+    return Fit(models, unfitted)
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _coefficients(state: DataFrame, n_features: int) -> DataFrame:
+    return state.select("group", *[F.col("raw")[i].alias(f"b_{i}") for i in range(n_features + 1)])
+
+
+def _linear(names: list[str]):
+    return F.expr(" + ".join(["b_0", *[f"b_{i} * {n}" for i, n in enumerate(names, 1)]]))
 
 
 def _start(rows: DataFrame, names: list[str], ridge: float) -> DataFrame:
@@ -97,8 +151,7 @@ def _start(rows: DataFrame, names: list[str], ridge: float) -> DataFrame:
 
 
 def _step(rows: DataFrame, state: DataFrame, names: list[str], power: float, ridge: float) -> DataFrame:
-    coefs = state.select("group", *[F.col("raw")[i].alias(f"b_{i}") for i in range(len(names) + 1)])
-    linear = F.expr(" + ".join(["b_0", *[f"b_{i} * {n}" for i, n in enumerate(names, 1)]]))
+    coefs, linear = _coefficients(state, len(names)), _linear(names)
     mean = F.exp("linear")
     weighted = (
         rows
@@ -174,11 +227,20 @@ def _scaling(means: np.ndarray, scales: np.ndarray) -> np.ndarray:
     return matrix
 
 
-def _ridge_solution(products: np.ndarray, response: np.ndarray, scaling: np.ndarray, ridge: float) -> np.ndarray:
+def _ridge_solution(products: np.ndarray, response: np.ndarray, scaling: np.ndarray, ridge: float) -> tuple[np.ndarray, str | None]:
+    """The solution, or zeros and the reason why there is none. Features without spread take no part."""
     system = scaling.T @ products @ scaling
     penalty = np.full(len(system), ridge * products[0, 0])
     penalty[0] = 0.0
-    return np.linalg.solve(system + np.diag(penalty), scaling.T @ response)
+    used = np.flatnonzero(np.concatenate([[True], np.diag(scaling)[1:] > 0]))
+    solution = np.zeros(len(system))
+    system = (system + np.diag(penalty))[np.ix_(used, used)]
+    if not np.isfinite(system).all() or not np.isfinite(response).all():
+        return solution, NO_NUMBER
+    if np.linalg.matrix_rank(system, hermitian=True) < len(used):
+        return solution, SINGULAR
+    solution[used] = np.linalg.solve(system, (scaling.T @ response)[used])
+    return solution, None
 
 
 def _first_solution(row, k: int, ridge: float) -> tuple:
@@ -192,21 +254,21 @@ def _first_solution(row, k: int, ridge: float) -> tuple:
     average = max(full[0, k + 1] / n, 1e-9)
     # Working response of the constant model: log(average) + (y - average) / average.
     response = full[:k + 1, k + 1] / average + (np.log(average) - 1.0) * full[:k + 1, 0]
-    beta = _ridge_solution(full[:k + 1, :k + 1], response, scaling, ridge)
+    beta, reason = _ridge_solution(full[:k + 1, :k + 1], response, scaling, ridge)
     start = np.concatenate([[np.log(average)], np.zeros(k)])
     beta = start + np.clip(beta - start, -MAX_MOVE, MAX_MOVE)
     raw = scaling @ beta
-    return (row.group, int(round(n)), means.tolist(), scales.tolist(), beta.tolist(), raw.tolist(), 1.0)
+    return (row.group, int(round(n)), means.tolist(), scales.tolist(), beta.tolist(), raw.tolist(), 1.0, reason)
 
 
 def _next_solution(row, k: int, ridge: float) -> tuple:
     full = _square(np.asarray(row.block), k)
     scaling = _scaling(np.asarray(row.means), np.asarray(row.scales))
     old = np.asarray(row.beta)
-    new = _ridge_solution(full[:k + 1, :k + 1], full[:k + 1, k + 1], scaling, ridge)
+    new, reason = _ridge_solution(full[:k + 1, :k + 1], full[:k + 1, k + 1], scaling, ridge)
     new = old + np.clip(new - old, -MAX_MOVE, MAX_MOVE)
     change = float(np.max(np.abs(new - old)) / (1.0 + np.max(np.abs(old))))
-    return (row.group, row.n_rows, list(row.means), list(row.scales), new.tolist(), (scaling @ new).tolist(), change)
+    return (row.group, row.n_rows, list(row.means), list(row.scales), new.tolist(), (scaling @ new).tolist(), change, reason)
 
 
 def _model_table(state: DataFrame, features: DataFrame, names: list[str], pooled: bool) -> DataFrame:

@@ -10,8 +10,8 @@ from countcast.functions.dates import HOLIDAYS
 from countcast.operators.alerts import (
     HISTORY_DAYS, alert_charts, outbox, prediction_table, with_merchant, with_notify,
 )
-from countcast.operators.checks import require_fresh
-from countcast.operators.counts import counted, daily_counts, rejected_events
+from countcast.operators.checks import StaleDataError
+from countcast.operators.counts import counted, rejected_events, watched_counts
 from countcast.operators.features import current_features, prediction_rows
 from countcast.operators.merchants import scoring_merchants
 from countcast.operators.scoring import score, unscorable_models, unusable, usable
@@ -42,13 +42,16 @@ def run_for(day: dt.date | str, raw: DataFrame, models: DataFrame, merchants: Da
     A run can be repeated: every table it writes replaces the one of the earlier run, and a day without alerts leaves
     no message of that day. ``messages`` are those of ``day`` only. ``save`` gets the day's predictions at each run: a sink that appends must
     take the day as a unit. The current table holds ``history_days`` at least, so charts are whole.
-    Raises ``StaleDataError`` when the day before has no events.
+    Raises ``StaleDataError`` when the day before has no events. That, the number of counts and whether there are rejects come
+    from the one pass that counts the events; they are read again only to list rejects that exist.
     """
     spark = raw.sparkSession
-    counts, metrics = counted(daily_counts(raw), "daily counts")
+    events, seen = watched_counts(raw, day)
+    counts, metrics = counted(events, "daily counts")
     write_by_category(counts, f"{folder}/daily")
+    if not seen.get["fresh"]:
+        raise StaleDataError(f"no daily counts for the day before {day}")
     daily = read_daily(spark, f"{folder}/daily")
-    require_fresh(daily, day)
 
     write_by_category(current_features(daily, day, max(current_days, history_days), holidays), f"{folder}/current")
     current = read_features(spark, f"{folder}/current")
@@ -67,7 +70,7 @@ def run_for(day: dt.date | str, raw: DataFrame, models: DataFrame, merchants: Da
     return Run(
         predictions=predictions,
         messages=messages,
-        rejected_events=rejected_events(raw),
+        rejected_events=rejected_events(raw if seen.get["rejected"] else raw.limit(0)),
         rejected_predictions=unusable(scored),
         unscorable_mccs=unscorable_models(models, scored),
         daily_rows=metrics.get["rows"],

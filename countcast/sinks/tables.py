@@ -43,6 +43,18 @@ def write_day(df: DataFrame, path: str, day: dt.date | str) -> None:
     df.filter(F.col(DAY) == F.lit(str(day)).cast("date")).drop(DAY).write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
 
 
+def write_days(df: DataFrame, path: str, start: dt.date | str, end: dt.date | str) -> None:
+    """Stores the results of all days in [start, end] in one job, in the table that ``write_by_day`` writes.
+
+    Days of the range that ``df`` has no rows for are left empty, whatever the table held before. Only they are written one by one.
+    """
+    write_by_day(df, path)
+    inside = F.col(DAY).between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
+    held = df.sparkSession.read.schema(df.schema).parquet(path).filter(inside).select(DAY).distinct()
+    for row in held.join(df.select(DAY).distinct(), DAY, "left_anti").collect():
+        write_day(df.limit(0), path, row[DAY])
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Stores a table without partitions."""
     df.write.mode(mode).parquet(path)

@@ -27,6 +27,7 @@ def test_rejected_events_keep_the_given_values(spark):
         ("X7", "6300", "merchant code is not a number"),
         ("8", "shop", "category code is not a number"),
         ("8", "6300", "no event day"),
+        (None, "6300", "no merchant code"),
     }
 
 

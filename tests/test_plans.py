@@ -1,3 +1,4 @@
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from countcast.operators.boosting import DAILY
 from countcast.operators.checks import StaleDataError
-from countcast.operators.counts import daily_counts
+from countcast.operators.counts import daily_counts, watched_counts
 from countcast.plans.backfill import backfill
 from countcast.plans.daily_run import run_for
 from countcast.plans.merchant_master import build_master
@@ -83,6 +84,36 @@ def test_training_then_backfill(spark, folder, inputs):
     assert all(0 < r["count"] <= per_day for r in days)
 
 
+def test_backfill_equals_the_daily_runs(spark, folder, inputs):
+    raw, models = fx.events_raw(spark, SF), fx.fixed_models(spark)
+    loud = models.withColumn("intercept", F.col("intercept") + 0.4)
+    days = [f"2024-01-{d}" for d in (26, 27, 28)]
+    runs = [run_for(day, raw, loud, *inputs, f"{folder}/daily") for day in days]
+    done = backfill(daily_counts(raw), loud, *inputs, days[0], days[-1], f"{folder}/range")
+    for name in ("predictions", "messages"):
+        got, want = getattr(done, name), [getattr(r, name) for r in runs]
+        assert rows_of(got) == sum((rows_of(w.select(got.columns)) for w in want), start=Counter()), name
+        assert rows_of(spark.read.parquet(f"{folder}/range/{'outbox' if name == 'messages' else name}").select(got.columns)) == rows_of(got)
+    assert done.messages.select("day").distinct().count() == 3 and done.rejected_predictions.isEmpty()
+    assert [r.mcc for r in done.unscorable_mccs.collect()] == [9999]
+    quiet = models.withColumn("intercept", F.lit(-50.0))
+    again = backfill(daily_counts(raw), quiet, *inputs, days[1], days[1], f"{folder}/range")
+    assert again.messages.isEmpty()
+    kept = spark.read.parquet(f"{folder}/range/outbox").select(F.col("day").cast("string")).distinct().collect()
+    assert sorted(r.day for r in kept) == [days[0], days[2]]
+
+
+def test_one_pass_over_the_events(spark, folder, inputs):
+    """Counting, freshness and rejects read the events once; rejects are read again only if there are any."""
+    raw = fx.events_raw(spark, SF)
+    bad = raw.limit(3).withColumn("merchant_id", F.lit("x")).unionByName(raw.limit(2).withColumn("merchant_id", F.lit(None).cast("string")))
+    run = run_for(fx.EVENTS_DAY, raw.unionByName(bad), fx.fixed_models(spark), *inputs, folder)
+    assert sorted(r.reason for r in run.rejected_events.collect()) == ["merchant code is not a number"] * 3 + ["no merchant code"] * 2
+    counts, seen = watched_counts(raw, fx.EVENTS_DAY)
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == raw._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    assert counts.collect() and seen.get["events"] == raw.filter("trim(merchant_id) <> '0'").count() and seen.get["rejected"] == 0
+
+
 def test_merchant_master(spark, folder):
     saved = []
     linked = build_master(fx.merchant_sources(spark, SF), fx.special_accounts(spark, SF), folder, saved.append)

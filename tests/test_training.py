@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from countcast.columns import CALENDAR_FEATURES
 from countcast.operators.scoring import score
-from countcast.operators.training import LINEAR_FEATURES, POISSON_POWER, NotConvergedError, fit_count_models
+from countcast.operators.training import (
+    LINEAR_FEATURES, POISSON_POWER, SINGULAR, NotConvergedError, fit_categories, fit_count_models,
+)
 from countcast.operators.trees import fit_pooled_trees, score_trees
 from countcast.sinks.scratch import stored
 
@@ -77,6 +79,29 @@ def test_pooled_trees(spark):
     assert error < spread and scored.filter("prediction is null or expected < 0").isEmpty()
 
 
+def test_categories_without_a_fit_do_not_stop_the_others(spark):
+    """One category with two equal features, one that keeps changing, one with a solution out of bounds; two others settle."""
+    data = [(1, i % 9, float(i % 7), float(i % 7)) for i in range(60)]
+    data += [(2, int(i == 59), float(i), float(i % 2)) for i in range(60)]
+    for mcc in (3, 4):
+        data += [(mcc, 2 + i % 3 + i % 2, float(i % 5), float(i % 2)) for i in range(60)]
+    rows = stored(spark.createDataFrame(data, "mcc int, total bigint, a double, b double"))
+    fit = fit_categories(rows, ["a", "b"], ridge=0.0, max_steps=6)
+    assert {r.mcc for r in fit.models.collect()} == {3, 4}
+    reasons = {r.mcc: r.reason for r in fit.unfitted.collect()}
+    assert reasons == {1: SINGULAR, 2: "coefficients still change after 6 steps"}
+    alone = {r.mcc: r.coefs for r in fit_categories(rows.filter("mcc > 2"), ["a", "b"], ridge=0.0, max_steps=6).models.collect()}
+    for r in fit.models.collect():
+        assert r.coefs == pytest.approx(alone[r.mcc], abs=1e-12)
+    assert fit_categories(rows.limit(0), ["a", "b"]).unfitted.isEmpty()
+
+
+def test_pooled_fit_without_solution_names_every_category(spark):
+    rows = stored(spark.createDataFrame([(m, i % 4, float(i % 7), float(i % 7)) for m in (1, 2) for i in range(40)], "mcc int, total bigint, a double, b double"))
+    fit = fit_categories(rows, ["a", "b"], ridge=0.0, pooled=True)
+    assert fit.models.isEmpty() and {r.mcc: r.reason for r in fit.unfitted.collect()} == {1: SINGULAR, 2: SINGULAR}
+
+
 def test_fit_that_does_not_settle_raises(spark):
     rows = spark.range(40).selectExpr("5411 AS mcc", "id % 9 AS total", "CAST(id % 7 AS double) AS a")
     with pytest.raises(NotConvergedError):

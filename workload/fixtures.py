@@ -11,6 +11,7 @@ from countcast.columns import TREE_SCHEMA
 
 SHIPPING_DAY = "2001-06-30"
 DOUBLED_FROM_YEAR = 1998
+WATCHED_DAY = "1996-07-02"
 EVENTS_DAY = "2024-01-31"
 BACKTEST_DAYS = ("2024-01-20", "2024-01-30")
 

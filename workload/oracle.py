@@ -325,6 +325,33 @@ ORACLE: dict[str, str] = {
         WITH {RANGE}
         SELECT mcc, merchant_id, CAST(day AS VARCHAR) AS day, total, round(prediction, 6) AS prediction, notify
         FROM scored""",
+    "backfill_messages": f"""
+        WITH {_features(EVENT_ROWS, fx.BACKTEST_DAYS[1])},
+        range_rows AS (
+          SELECT * FROM features WHERE day BETWEEN DATE '{fx.BACKTEST_DAYS[0]}' AND DATE '{fx.BACKTEST_DAYS[1]}' AND known),
+        {KNOWN_MERCHANTS}, {_scored("range_rows")},
+        points AS (
+          SELECT s.mcc, s.merchant_id, s.day AS alert_day, d.day, d.total
+          FROM scored s JOIN dense d ON d.mcc = s.mcc AND d.merchant_id = s.merchant_id AND d.day BETWEEN s.day - 15 AND s.day - 1
+          WHERE s.notify),
+        history AS (
+          SELECT mcc, merchant_id, alert_day, string_agg({LABEL}, ',' ORDER BY day) AS past_labels,
+                 string_agg(CAST(total AS VARCHAR), ',' ORDER BY day) AS past_data
+          FROM points GROUP BY mcc, merchant_id, alert_day)
+        SELECT s.mcc, CAST(s.day AS VARCHAR) AS day, array_to_string([trim(e) for e in string_split(k.notify_emails, '|')], ';') AS to_list,
+               s.merchant_id AS code, CAST(round_even(s.expected, 0) AS BIGINT) AS prediction, k.trade_name AS d_code,
+               h.past_labels || ',' || {LABEL.replace("day", "s.day").replace("s.dayof", "dayof")} AS labels,
+               h.past_data || ',' || CAST(CAST(round_even(s.expected, 0) AS BIGINT) AS VARCHAR) AS data
+        FROM scored s JOIN known k ON k.mcc = s.mcc AND k.merchant_id = s.merchant_id
+        JOIN history h ON h.mcc = s.mcc AND h.merchant_id = s.merchant_id AND h.alert_day = s.day
+        WHERE s.notify AND s.prediction IS NOT NULL AND k.notify_emails IS NOT NULL""",
+    "watched_events": f"""
+        SELECT count(*) AS events,
+               count(*) FILTER (mcc_no IS NULL OR merchant_no IS NULL) AS rejected,
+               count(*) FILTER (mcc_no IS NOT NULL AND merchant_no IS NOT NULL AND day = DATE '{fx.WATCHED_DAY}' - 1) AS fresh
+        FROM (SELECT CASE WHEN l_linenumber = 2 THEN NULL ELSE TRY_CAST(l_suppkey AS BIGINT) END AS merchant_no,
+                     CASE WHEN l_linenumber = 1 THEN TRY_CAST(l_linestatus AS INTEGER) ELSE 5411 END AS mcc_no,
+                     CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_suppkey <> 0 OR l_linenumber = 2)""",
     "train_tweedie_cell_means": f"""
         WITH {_features(EVENT_ROWS, fx.BACKTEST_DAYS[1])}
         SELECT mcc, CAST(is_weekend AS INTEGER) AS is_weekend, round(avg(total), 6) AS mean_total FROM features GROUP BY ALL""",

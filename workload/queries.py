@@ -23,7 +23,7 @@ from countcast.operators.bins import fit_bins
 from countcast.operators.boosting import FIRST_CUT, SINGLE_TREE, fit_tree_models
 from countcast.operators.calendar import dense_calendar, recent_calendar
 from countcast.operators.checks import freshness
-from countcast.operators.counts import daily_counts, first_seen, rejected_events
+from countcast.operators.counts import daily_counts, first_seen, rejected_events, watched_counts
 from countcast.operators.features import current_features, feature_table, prediction_rows
 from countcast.operators.history import expanding_report, last_rows, with_history
 from countcast.operators.merchants import (
@@ -33,6 +33,7 @@ from countcast.operators.sampling import calendar_rows, one_side_sample, thin_la
 from countcast.operators.scoring import score, unscorable_models, usable
 from countcast.operators.training import POISSON_POWER, fit_count_models
 from countcast.operators.trees import fit_pooled_trees, score_trees
+from countcast.plans.backfill import backfill
 from countcast.sinks.scratch import scratch_folder, stored
 from countcast.sinks.tables import write_by_category
 from countcast.sources.shards import Shard, shards, union_shards
@@ -238,6 +239,25 @@ def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def backfill_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that a backfill of the backtest days writes."""
+    daily = stored(_events_daily(spark, sf_dir), "daily")
+    folder = f"{scratch_folder(spark)}/backfill-{uuid.uuid4().hex}"
+    done = backfill(daily, fx.fixed_models(spark), fx.merchants_raw(spark, sf_dir), fx.special_accounts(spark, sf_dir), *fx.BACKTEST_DAYS, folder)
+    sent = done.messages.select("mcc", "day", decode_message(F.col("message")).alias("m"))
+    return _shown(sent.select(
+        "mcc", "day", F.array_join("m.to", ";").alias("to_list"), F.col("m.template_data.code").alias("code"),
+        F.col("m.template_data.prediction").alias("prediction"), F.col("m.template_data.dCode").alias("d_code"),
+        F.col("m.template_data.labels").alias("labels"), F.col("m.template_data.data").alias("data")))
+
+
+def watched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the one pass that writes the counts sees of the events."""
+    counts, seen = watched_counts(fx.unreadable_raw(spark, sf_dir), fx.WATCHED_DAY)
+    stored(counts, "watched")
+    return spark.createDataFrame([(seen.get["events"], seen.get["rejected"], seen.get["fresh"])], "events long, rejected long, fresh long")
+
+
 def _range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_range(_events_daily(spark, sf_dir), fx.fixed_models(spark), *fx.BACKTEST_DAYS)
 
@@ -351,6 +371,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         backtest_errors, forecast_days, training_category_rows, sampled_training_rows,
         train_tweedie_glm, train_tweedie_cell_means, train_poisson_pooled, train_gbt_pooled,
         tree_feature_bins, train_tree_first_cut, train_tree_category_cut, train_tree_cell_steps, one_side_sampled_rows,
-        score_fixed_trees,
+        score_fixed_trees, backfill_messages, watched_events,
     ]
 }
