@@ -31,9 +31,8 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir, "doc_id", "text")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
-    terms, weights = toxicity.fit(toxicity.labelled_documents(docs.filter(~held_out), read_table(spark, sf_dir, "labels")))
     return (
-        toxicity.score(docs, terms, weights, "doc_id")
+        toxicity.score_documents(docs, read_table(spark, sf_dir, "labels"), ~F.coalesce(held_out, F.lit(False)))
         .select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
                 F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
     )

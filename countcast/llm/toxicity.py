@@ -19,13 +19,13 @@ STEM = 4
 LONGEST_TERM = 24
 #: The lexicon holds at most so many terms, the most telling ones.
 MOST_TERMS = 20_000
-#: Bound of the labelled documents that the weights are fitted on; more are thinned by a hash of their id.
+#: Bound of the labelled documents that are learnt from; of more, those with the smallest hashes of their ids are.
 MOST_LABELLED = 200_000
 #: Words before and after a term that its context score looks at.
 CONTEXT = 4
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
-#: Terms of this many letters allow one edit (a swap of neighbours is one too) in words that no clean labelled document has.
-SHORT = (4, 5)
+#: A word one edit from a short term is ordinary, and no misspelling, if this share of the clean labelled documents has it.
+ORDINARY = 1 / 50_000
 #: A digit or sign that stands before a letter, as in ``idi0t``; ``SIGNS`` may replace letters.
 SIGNS = "0-9_@$!|*€"
 SIGN = re.compile(rf"[{SIGNS}]+(?=[^\W\d_])", re.UNICODE)
@@ -36,12 +36,18 @@ QUOTES = '"“”„«»‘’'
 REPORTING = frozenset("said says say called calls call wrote writes quote quoted quotes word term dijo dice dit disait sagte sagt".split())
 
 
+def edits_allowed(term: str) -> int:
+    """None for stems and up to three letters, one from four letters, two from nine."""
+    return 0 if term.endswith("*") or len(term) < 4 else 1 if len(term) < 9 else 2
+
+
 class Automaton:
-    """The Levenshtein automata of all terms at once: their trie, walked with one edit-distance row per trie node.
+    """The Levenshtein automata of all terms at once: their trie, walked with the edits spent at each trie node.
 
-    A state is the set of trie nodes that a prefix of the input can reach within the edits allowed, with the fewest edits for
-    each. States are found by need and kept, so a word costs one look-up per letter, and most words leave the automaton after a few letters. A term of up to
-    five letters allows no edit, a longer one one, from nine letters two; a stem (``term*``) must match without edits and accepts any end.
+    A state is the set of places that a prefix of the input can reach within the edits allowed, with the fewest edits for each. A place is a
+    trie node, or a node behind two swapped letters of which one is still to come. States are found by need and kept, so a word costs one
+    look-up per letter, and most words leave the automaton after a few letters. An edit puts in, leaves out or replaces a letter, or swaps two
+    neighbours; ``edits_allowed`` says how many a term allows. A stem (``term*``) must match as it is and accepts any end.
     """
 
     def __init__(self, terms: list[str]):
@@ -50,10 +56,8 @@ class Automaton:
         self.stems: list[str | None] = [None]
         self.allowed = [0]
         for term in sorted(terms):
-            node, stem = 0, term.endswith("*")
-            letters = term[:-1] if stem else term
-            edits = 0 if stem or len(letters) <= 5 else 1 if len(letters) < 9 else 2
-            for letter in letters:
+            node, edits = 0, edits_allowed(term)
+            for letter in term.removesuffix("*"):
                 self.allowed[node] = max(self.allowed[node], edits)
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
@@ -63,49 +67,57 @@ class Automaton:
                     self.allowed.append(0)
                 node = self.children[node][letter]
             self.allowed[node] = max(self.allowed[node], edits)
-            if stem:
+            if term.endswith("*"):
                 self.stems[node] = term
             else:
                 self.ends[node] = term
-        self.edits_of = {t: 0 if t.endswith("*") or len(t) <= 5 else 1 if len(t) < 9 else 2 for t in terms}
         self.states: list[tuple] = []
         self.known: dict[tuple, int] = {}
         self.moves: list[dict[str, int]] = []
         self.found: list[tuple[str, int] | None] = []
-        self.start = self._state({0: 0}, None)
+        self.start = self._state({(0, ""): 0}, None)
 
-    def _state(self, nodes: dict[int, int], stem: str | None) -> int:
+    def _state(self, places: dict[tuple[int, str], int], stem: str | None) -> int:
         """Adds what skipped term letters reach, and names the state; -1 if nothing is left."""
-        todo = list(nodes.items())
+        todo = [(node, edits) for (node, awaited), edits in places.items() if not awaited]
         while todo:
             node, edits = todo.pop()
             for child in self.children[node].values():
-                if edits + 1 <= self.allowed[child] and edits + 1 < nodes.get(child, 99):
-                    nodes[child] = edits + 1
+                if edits + 1 <= self.allowed[child] and edits + 1 < places.get((child, ""), 99):
+                    places[child, ""] = edits + 1
                     todo.append((child, edits + 1))
-        stem = stem or min((self.stems[n] for n, e in nodes.items() if e == 0 and self.stems[n]), default=None)
-        if not nodes and stem is None:
+        stem = stem or min((self.stems[n] for (n, awaited), e in places.items() if not awaited and e == 0 and self.stems[n]), default=None)
+        if not places and stem is None:
             return -1
-        key = (stem, *sorted(nodes.items()))
+        key = (stem, *sorted(places.items()))
         if key not in self.known:
             self.known[key] = len(self.states)
-            self.states.append((dict(nodes), stem))
+            self.states.append((dict(places), stem))
             self.moves.append({})
-            ends = [(e, self.ends[n]) for n, e in nodes.items() if self.ends[n] and e <= self.edits_of[self.ends[n]]]
+            ends = [(e, self.ends[n]) for (n, awaited), e in places.items() if not awaited and self.ends[n] and e <= edits_allowed(self.ends[n])]
             best = min(ends, default=None)
-            self.found.append((best[1], best[0]) if best else (stem, 0) if stem else None)
+            # A stem at the start of a word counts as it is, unless the word is a term.
+            self.found.append((best[1], best[0]) if best and (best[0] == 0 or not stem) else (stem, 0) if stem else None)
         return self.known[key]
 
     def _move(self, state: int, letter: str) -> int:
-        nodes, stem = self.states[state]
-        after: dict[int, int] = {}
-        for node, edits in nodes.items():
-            if edits + 1 <= self.allowed[node]:  # an extra letter in the word
-                after[node] = min(after.get(node, 99), edits + 1)
+        places, stem = self.states[state]
+        after: dict[tuple[int, str], int] = {}
+
+        def reach(node: int, awaited: str, edits: int) -> None:
+            if edits == 0 or edits <= self.allowed[node]:
+                after[node, awaited] = min(after.get((node, awaited), 99), edits)
+
+        for (node, awaited), edits in places.items():
+            if awaited:
+                if awaited == letter:
+                    reach(node, "", edits)
+                continue
+            reach(node, "", edits + 1)  # an extra letter in the word
             for other, child in self.children[node].items():
-                cost = edits + (other != letter)
-                if cost == 0 or cost <= self.allowed[child]:
-                    after[child] = min(after.get(child, 99), cost)
+                reach(child, "", edits + (other != letter))
+                if other != letter and letter in self.children[child]:
+                    reach(self.children[child][letter], other, edits + 1)
         self.moves[state][letter] = found = self._state(after, stem)
         return found
 
@@ -120,45 +132,26 @@ class Automaton:
         return self.found[state]
 
 
-def _neighbour(a: str, b: str) -> bool:
-    """One letter put in, left out or replaced, or two neighbours swapped."""
-    if len(a) > len(b):
-        a, b = b, a
-    k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    if len(a) < len(b):
-        return len(b) - len(a) == 1 and a[k:] == b[k + 1:]
-    return k < len(a) and (a[k + 1:] == b[k + 1:] or a[k:k + 2] == b[k:k + 2][::-1] and a[k + 2:] == b[k + 2:])
-
-
-def _left_out(word: str) -> set[str]:
-    return {word, *(word[:k] + word[k + 1:] for k in range(len(word)))}
+def doubtful(match: tuple[str, int]) -> bool:
+    """An edit of a short term: many words are that near to one by chance."""
+    return match[1] > 0 and len(match[0]) < 6
 
 
 class Lexicon(dict):
-    """Terms with their weights; ``ordinary`` are the words of clean documents that are one edit from a short term."""
+    """Terms with their weights; ``ordinary`` are frequent words of clean documents that the automaton would take for misspellings."""
 
     ordinary: frozenset = frozenset()
 
 
 class Matcher:
-    """What the automaton finds, and the misspellings of short terms: a term and a word one edit apart have a common form with one letter left out."""
+    """What the automaton finds, but for ordinary words in the place of short terms."""
 
     def __init__(self, terms: Iterable[str], ordinary: frozenset = frozenset()):
         self.automaton, self.ordinary = Automaton(list(terms)), ordinary
-        self.forms: dict[str, list[str]] = {}
-        for term in sorted(terms):
-            if not term.endswith("*") and len(term) in SHORT:
-                for form in _left_out(term):
-                    self.forms.setdefault(form, []).append(term)
-
-    def misspelled(self, word: str) -> tuple[str, int] | None:
-        if not SHORT[0] - 1 <= len(word) <= SHORT[1] + 1 or word in self.ordinary:
-            return None
-        near = {t for form in _left_out(word) for t in self.forms.get(form, ()) if _neighbour(t, word)}
-        return (min(near), 1) if near else None
 
     def match(self, word: str) -> tuple[str, int] | None:
-        return self.automaton.match(word) or self.misspelled(word)
+        found = self.automaton.match(word)
+        return None if found and doubtful(found) and word in self.ordinary else found
 
     def spelled_with_signs(self, text: str) -> list[tuple[int, int, str, int]]:
         """Places, term and edits of words with digits or signs in them that are a term's misspelling; trailing signs are punctuation."""
@@ -233,43 +226,51 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     return w
 
 
-def learn_terms(labelled: DataFrame) -> dict[str, float]:
-    """The lexicon with weights (log odds of toxic), from documents with ``text`` and ``toxic``; stems end in ``*``.
+def words_of(labelled: DataFrame) -> DataFrame:
+    """``toxic, words`` of documents with ``text`` and ``toxic``, stored: the distinct words in lower case, from which all counts are taken."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))
+    return stored(labelled.select("toxic", words.alias("words")), "toxic-words")
+
+
+def learn_terms(words: DataFrame) -> Lexicon:
+    """The lexicon with weights (log odds of toxic), from ``words_of`` labelled documents; stems end in ``*``.
 
-    Documents are counted per word and per word start, by Spark; only the terms, ``MOST_TERMS`` at most, reach the driver.
+    Documents are counted per word and per word start, by Spark; only the terms, ``MOST_TERMS`` at most, and the ordinary words reach the driver.
     """
-    toxic_only = labelled.filter("toxic = 1")
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))
     stems = F.array_distinct(F.transform(F.filter(F.col("words"), lambda w: F.length(w) > STEM), lambda w: F.concat(F.substring(w, 1, STEM), F.lit("*"))))
-    def terms(rows: DataFrame) -> DataFrame:
-        return (rows.select("toxic", words.alias("words"))
-                .select("toxic", F.explode(F.concat("words", stems)).alias("term")).filter(F.length("term") <= LONGEST_TERM))
+
+    def terms(toxic: int) -> DataFrame:
+        return words.filter(F.col("toxic") == toxic).select(F.explode(F.concat("words", stems)).alias("term")).filter(F.length("term") <= LONGEST_TERM)
 
     # Only terms of toxic documents can enter the lexicon; the others are counted for those.
-    wanted = stored(terms(toxic_only).groupBy("term").agg(F.count("*").alias("toxic")).filter(F.col("toxic") >= LEAST_DOCUMENTS), "toxic-terms")
-    clean = terms(labelled.filter("toxic = 0")).groupBy("term").agg(F.count("*").alias("clean"))
+    wanted = stored(terms(1).groupBy("term").agg(F.count("*").alias("toxic")).filter(F.col("toxic") >= LEAST_DOCUMENTS), "toxic-terms")
+    clean = terms(0).groupBy("term").agg(F.count("*").alias("clean"))
     found = (
         wanted.join(clean, "term", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
         .filter((F.col("toxic") >= LEAST_TOXIC * (F.col("toxic") + F.col("clean"))) & (F.length("term") >= 3))
         .orderBy(F.desc(F.col("toxic") / (F.col("toxic") + F.col("clean") + 2)), "term").limit(MOST_TERMS).collect()
     )
-    n_toxic, n_clean = toxic_only.count() + 1, labelled.filter("toxic = 0").count() + 1
-    lexicon = Lexicon({r["term"]: float(np.log((r["toxic"] + 0.5) / n_toxic) - np.log((r["clean"] + 0.5) / n_clean)) for r in found})
-    lexicon.ordinary = _ordinary(labelled.filter("toxic = 0"), lexicon)
+    n = words.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
+    lexicon = Lexicon({r["term"]: float(np.log((r["toxic"] + 0.5) / (n["toxic"] + 1)) - np.log((r["clean"] + 0.5) / (n["clean"] + 1))) for r in found})
+    lexicon.ordinary = _ordinary(words.filter("toxic = 0"), lexicon, n["clean"])
     return lexicon
 
 
-def _ordinary(clean: DataFrame, terms: dict[str, float]) -> frozenset:
-    """Words of clean documents that are one edit from a short term; only these reach the driver."""
-    sent = clean.sparkSession.sparkContext.broadcast([t for t in terms if not t.endswith("*") and len(t) in SHORT])
+def _ordinary(clean: DataFrame, terms: dict[str, float], n_clean: int) -> frozenset:
+    """Words that the automaton takes for a misspelling of a short term and that at least the share ``ORDINARY`` of the clean documents has. So many words
+    can't be more than a document's distinct words divided by ``ORDINARY``, on average; only they reach the driver."""
+    sent = clean.sparkSession.sparkContext.broadcast(list(terms))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(sent.value)
+        automaton = Automaton(sent.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([w for w in batch.column(0).to_pylist() if matcher.misspelled(w)], pa.string())], names=["word"])
+            found = [w for w in batch.column(0).to_pylist() if (m := automaton.match(w)) and doubtful(m)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["word"])
 
-    words = clean.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word"))
-    words = words.filter(F.length("word").between(SHORT[0] - 1, SHORT[1] + 1)).distinct()
+    words = (
+        clean.select(F.explode("words").alias("word")).filter(F.length("word").between(3, LONGEST_TERM + 2))
+        .groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= ORDINARY * n_clean).select("word")
+    )
     return frozenset(r["word"] for r in words.mapInArrow(near, "word string").collect())
 
 
@@ -297,33 +298,55 @@ def _measured(docs: DataFrame, terms: dict[str, float], *keep: str) -> DataFrame
     return docs.select(*keep, "text").mapInArrow(measure, ", ".join(f"`{c}` {types[c]}" for c in keep) + ", features array<double>")
 
 
-def fit(labelled: DataFrame) -> tuple[dict[str, float], np.ndarray]:
-    """Lexicon and weights from documents with ``doc_id``, ``text`` and ``toxic``.
-
-    The weights are fitted on ``MOST_LABELLED`` documents at most, chosen by a hash of the id. Without any toxic or any clean document the weights give
-    the share of toxic ones.
-    """
-    labelled = labelled.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).filter("text is not null and toxic in (0, 1)")
-    terms = learn_terms(labelled)
-    n = labelled.count()
-    share = min(1.0, MOST_LABELLED / max(1, n))
-    some = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000) if share < 1 else labelled
-    rows = _measured(some, terms, "toxic").groupBy("toxic", "features").count().collect()
+def fit_weights(measured: DataFrame) -> np.ndarray:
+    """Weights from ``toxic, features`` of labelled documents. Without any toxic or any clean document they give the share of toxic ones."""
+    rows = measured.groupBy("toxic", "features").count().collect()
     x = np.array([r["features"] for r in rows], dtype=float).reshape(-1, len(FEATURES))
     y = np.array([r["toxic"] for r in rows], dtype=float)
     times = np.array([r["count"] for r in rows], dtype=int)
-    return terms, fit_logistic(np.repeat(x, times, axis=0), np.repeat(y, times))
+    return fit_logistic(np.repeat(x, times, axis=0), np.repeat(y, times))
+
+
+def fit(labelled: DataFrame) -> tuple[Lexicon, np.ndarray]:
+    """Lexicon and weights from documents with ``text`` and ``toxic``; rows with other labels than 0 and 1, and NULL texts, are left out."""
+    labelled = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).filter("text is not null and toxic in (0, 1)")
+    terms = learn_terms(words_of(labelled))
+    return terms, fit_weights(_measured(labelled, terms, "toxic"))
 
 
 def score(docs: DataFrame, terms: dict[str, float], weights: np.ndarray, *keep: str) -> DataFrame:
     """The columns ``keep`` of every document and its ``score`` (0 to 1); NULL and empty texts score as texts without a term."""
+    return with_score(_measured(docs, terms, *keep), weights).select(*keep, "score")
+
+
+def with_score(measured: DataFrame, weights: np.ndarray) -> DataFrame:
     margin = F.lit(float(weights[0]))
     for k in range(len(FEATURES)):
         margin = margin + F.lit(float(weights[k + 1])) * F.col("features")[k]
-    return _measured(docs, terms, *keep).select(*keep, (1 / (1 + F.exp(-margin))).alias("score"))
+    return measured.withColumn("score", 1 / (1 + F.exp(-margin)))
+
+
+def flags(labels: DataFrame) -> DataFrame:
+    """``label_id, toxic`` of labelled documents, ``MOST_LABELLED`` at most; one with several labels counts as toxic if one says so.
+
+    That bound makes the table small enough to be sent to all tasks, so no text is shuffled to find its label.
+    """
+    one = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    return F.broadcast(stored(one.orderBy(F.xxhash64("label_id"), "label_id").limit(MOST_LABELLED), "toxic-flags"))
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with a toxic label; a document with several labels counts as toxic if one says so."""
-    flags = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.join(flags, "doc_id")
+    """``doc_id, text, toxic`` of documents with a toxic label (see ``flags``)."""
+    return docs.select("doc_id", "text").join(flags(labels), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, learn_from=None) -> DataFrame:
+    """``doc_id, score`` of every row of ``docs``, by terms and weights learnt from its labelled rows that meet the condition ``learn_from``.
+
+    Each text is measured once: the weights are fitted on stored numbers. Rows without id are scored, but have no label.
+    """
+    known = labelled_documents(docs if learn_from is None else docs.filter(learn_from), labels).filter("text is not null")
+    terms = learn_terms(words_of(known))
+    measured = stored(_measured(docs, terms, "doc_id"), "toxic-measured")
+    learnt = (measured if learn_from is None else measured.filter(learn_from)).join(flags(labels), F.col("doc_id") == F.col("label_id"))
+    return with_score(measured, fit_weights(learnt)).select("doc_id", "score")

@@ -205,9 +205,40 @@ def test_signatures_are_unbiased():
 
 def test_automaton_finds_terms_within_their_edits():
     machine = toxicity.Automaton(["moron", "pathetic", "disgusting", "vequ*"])
-    assert machine.match("moron") == ("moron", 0) and machine.match("morron") is None
+    assert machine.match("moron") == ("moron", 0) and machine.match("morron") == ("moron", 1) and machine.match("mmorron") is None
+    assert machine.match("pahtetic") == ("pathetic", 1) and machine.match("pahtetci") is None
     assert machine.match("pathetc") == ("pathetic", 1) and machine.match("patheti") == ("pathetic", 1)
-    assert machine.match("disgustnig") == ("disgusting", 2) and machine.match("vequeur") == ("vequ*", 0) and machine.match("veque") and machine.match("ve") is None
+    assert machine.match("disgustnig") == ("disgusting", 1) and machine.match("dsgustnig") == ("disgusting", 2) and machine.match("vequeur") == ("vequ*", 0) and machine.match("veque") and machine.match("ve") is None
+
+
+def edit_distance(a, b):
+    """Insertions, deletions, replacements and swaps of neighbours, each letter edited once."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            best = min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, rows[-2][j - 2] + 1)
+            row.append(best)
+        rows.append(row)
+    return rows[-1][-1]
+
+
+def test_automaton_matches_edit_distance():
+    random = np.random.default_rng(8)
+    terms = sorted({"".join(random.choice(list("abc"), random.integers(2, 12))) for _ in range(40)})
+    machine = toxicity.Automaton(terms)
+    for _ in range(4000):
+        word = "".join(random.choice(list("abc"), random.integers(1, 13)))
+        near = [(d, t) for t in terms if (d := edit_distance(t, word)) <= toxicity.edits_allowed(t)]
+        assert machine.match(word) == ((min(near)[1], min(near)[0]) if near else None), word
+
+
+def test_toxicity_without_one_of_the_classes(spark):
+    for rows in ([], [(1, "a b", 1)], [(1, "a b", 0), (2, None, 0), (3, "", 7)]):
+        terms, weights = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+        assert not terms and np.isfinite(weights).all()
 
 
 def test_toxicity_on_held_out_labels(spark):
