@@ -24,6 +24,9 @@ MOST_LABELLED = 200_000
 #: Words before and after a term that its context score looks at.
 CONTEXT = 4
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
+PARTS = re.compile(r"([^\W\d_]+)", re.UNICODE)
+#: Short terms have so many letters at most.
+SHORT = 5
 #: A word one edit from a short term is ordinary, and no misspelling, if this share of the clean labelled documents has it.
 ORDINARY = 1 / 50_000
 #: A digit or sign that stands before a letter, as in ``idi0t``; ``SIGNS`` may replace letters.
@@ -42,7 +45,22 @@ def edits_allowed(term: str) -> int:
 
 
 class Automaton:
-    """The Levenshtein automata of all terms at once: their trie, walked with the edits spent at each trie node.
+    """The Levenshtein automata of all terms, read from both ends. Of a match's edits at most half lie in the first half of the term or at
+    most half in the second one, so each direction allows only that many in the half that it reads first, where most words leave it."""
+
+    def __init__(self, terms: list[str]):
+        self.forward, self.backward = Direction(terms, 1), Direction([t for t in terms if edits_allowed(t)], -1)
+
+    def match(self, word: str) -> tuple[str, int] | None:
+        """The nearest term within the edits it allows, and the number of edits; a stem only counts for words that are near no term."""
+        found, other = self.forward.match(word), self.backward.match(word[::-1])
+        if found and other and not found[0].endswith("*"):
+            return min(found, other, key=lambda m: (m[1], m[0]))
+        return found or other
+
+
+class Direction:
+    """The automata of all terms read in one direction: their trie, walked with the edits spent at each trie node.
 
     A state is the set of places that a prefix of the input can reach within the edits allowed, with the fewest edits for each. A place is a
     trie node, or a node behind two swapped letters of which one is still to come. States are found by need and kept, so a word costs one
@@ -50,15 +68,17 @@ class Automaton:
     neighbours; ``edits_allowed`` says how many a term allows. A stem (``term*``) must match as it is and accepts any end.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], step: int):
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[str | None] = [None]
         self.stems: list[str | None] = [None]
         self.allowed = [0]
         for term in sorted(terms):
-            node, edits = 0, edits_allowed(term)
-            for letter in term.removesuffix("*"):
-                self.allowed[node] = max(self.allowed[node], edits)
+            node, letters, edits = 0, term.removesuffix("*")[::step], edits_allowed(term)
+            # An edit at a letter lies behind it; the letter in the middle, and what is put in there, is free in both directions.
+            half = len(letters) // 2 + 1 if step > 0 else len(letters) - len(letters) // 2
+            for depth, letter in enumerate(letters):
+                self.allowed[node] = max(self.allowed[node], edits // 2 if depth < half else edits)
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
@@ -134,7 +154,7 @@ class Automaton:
 
 def doubtful(match: tuple[str, int]) -> bool:
     """An edit of a short term: many words are that near to one by chance."""
-    return match[1] > 0 and len(match[0]) < 6
+    return match[1] > 0 and len(match[0]) <= SHORT
 
 
 class Lexicon(dict):
@@ -176,40 +196,67 @@ FEATURES = ["any", "hits", "density", "edited", "quoted", "weight", "distinct",
 def features(text: str | None, matcher: Matcher, weights: dict[str, float], known: dict[str, tuple | None]) -> list[float]:
     """The document's numbers, in the order of ``FEATURES``; all 0 without a match."""
     text = (text or "").lower()
-    words = WORD.findall(text)
-    fresh = set(words).difference(known)
-    for word in fresh:
+    # Text between words and words take turns.
+    parts = PARTS.split(text)
+    words = parts[1::2]
+    different = set(words)
+    for word in different.difference(known):
         known[word] = matcher.match(word)
-    signed = matcher.spelled_with_signs(text)
-    hit = bool(signed) or any(map(known.__getitem__, set(words)))
-    matches = [(m.start(), m.end(), known[m.group()]) for m in WORD.finditer(text)] if hit else []
-    for word in fresh:
+    found = {w: match for w in different if (match := known[w])}
+    for word in different:
         if len(word) > LONGEST_SPELLED:  # long words are read, but not kept
             del known[word]
-    if not hit:
+    signed = matcher.spelled_with_signs(text)
+    if signed:
+        parts, found_at = _with_signs(parts, signed, found)
+    else:
+        found_at = [(k, found[w]) for k, w in enumerate(words) if w in found] if found else []
+    if not found_at:
         return [0.0] * len(FEATURES)
-    if signed:  # such a word takes the place of its pieces
-        inside = [False] * (len(text) + 1)
-        for begin, end, *_ in signed:
-            inside[begin:end] = [True] * (end - begin)
-        matches = sorted([m for m in matches if not inside[m[0]]] + [(begin, end, (term, edits)) for begin, end, term, edits in signed])
+    n = len(parts) // 2
     hits = edited = quoted = stems = 0.0
     top, terms = 0.0, set()
-    for k, (start, stop, match) in enumerate(matches):
-        if not match:
-            continue
-        term, edits = match
-        begin, end = matches[max(0, k - CONTEXT)][0], matches[min(len(matches) - 1, k + CONTEXT)][1]
-        before, after = text[begin:start], text[stop:end]
-        in_quotes = any(q in before for q in QUOTES) and any(q in after for q in QUOTES)
-        reported = any(text[m[0]:m[1]] in REPORTING for m in matches[max(0, k - CONTEXT):k])
+    for k, (term, edits) in found_at:
+        before = parts[2 * max(0, k - CONTEXT) + 1:2 * k + 1]
+        after = parts[2 * k + 2:2 * min(n - 1, k + CONTEXT) + 2]
+        in_quotes = any(q in p for p in before for q in QUOTES) and any(q in p for p in after for q in QUOTES)
+        reported = any(w in REPORTING for w in before[0::2])
         hits += 1
         edited += edits > 0
         stems += term.endswith("*")
         quoted += in_quotes or reported
         top = max(top, weights[term])
         terms.add(term)
-    return [1.0, np.log1p(hits), np.log1p(100 * hits / len(matches)), edited / hits, quoted / hits, top, np.log1p(len(terms)), stems / hits]
+    return [1.0, np.log1p(hits), np.log1p(100 * hits / n), edited / hits, quoted / hits, top, np.log1p(len(terms)), stems / hits]
+
+
+def _with_signs(parts: list[str], signed: list[tuple], found: dict[str, tuple]) -> tuple[list[str], list[tuple]]:
+    """The parts with each word of ``signed`` in the place of its pieces, and the matches with their places among the words."""
+    merged, matches = [""], []
+    at, coming = 0, list(reversed(signed))
+    for k, part in enumerate(parts):
+        start, at = at, at + len(part)
+        while coming and start < at and coming[-1][0] < at:  # a word with signs begins inside this part, or goes on in it
+            begin, end, term, edits = coming[-1]
+            inside = max(start, begin)
+            if start <= begin:
+                merged[-1] += part[:begin - start] if len(merged) % 2 else ""
+                matches.append((len(merged) // 2, (term, edits)))
+                merged += ["", ""]
+            merged[-2] += part[inside - start:end - start]
+            if end > at:
+                start = at
+                break
+            coming.pop()
+            part, start = part[end - start:], end
+        if start < at:
+            if k % 2 and len(part) == at - start and start == at - len(parts[k]):
+                if part in found:
+                    matches.append((len(merged) // 2, found[part]))
+                merged += [part, ""]
+            else:
+                merged[-1] += part
+    return merged, matches
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 25) -> np.ndarray:
@@ -259,16 +306,16 @@ def learn_terms(words: DataFrame) -> Lexicon:
 def _ordinary(clean: DataFrame, terms: dict[str, float], n_clean: int) -> frozenset:
     """Words that the automaton takes for a misspelling of a short term and that at least the share ``ORDINARY`` of the clean documents has. So many words
     can't be more than a document's distinct words divided by ``ORDINARY``, on average; only they reach the driver."""
-    sent = clean.sparkSession.sparkContext.broadcast(list(terms))
+    sent = clean.sparkSession.sparkContext.broadcast([t for t in terms if doubtful((t, 1))])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(sent.value)
         for batch in batches:
-            found = [w for w in batch.column(0).to_pylist() if (m := automaton.match(w)) and doubtful(m)]
+            found = [w for w in batch.column(0).to_pylist() if (m := automaton.match(w)) and m[1]]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["word"])
 
     words = (
-        clean.select(F.explode("words").alias("word")).filter(F.length("word").between(3, LONGEST_TERM + 2))
+        clean.select(F.explode("words").alias("word")).filter(F.length("word").between(3, SHORT + 1))
         .groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= ORDINARY * n_clean).select("word")
     )
     return frozenset(r["word"] for r in words.mapInArrow(near, "word string").collect())
