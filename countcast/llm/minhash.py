@@ -1,6 +1,8 @@
 """Near duplicates by weighted Jaccard similarity of word shingles: BagMinHash signatures, bands, verified links."""
 
 import hashlib
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +22,10 @@ BANDS, ROWS = 32, 4
 SMALL_BUCKET = 24
 LEADERS = 3
 
+#: Letters of a text that are cut into words at a time, words whose numbers a worker remembers, and intervals that are drawn at a time.
+PIECE, MOST_KNOWN, INTERVALS = 1 << 20, 100_000, 1 << 17
+SPACE = re.compile(r"\s")
+
 _known_words: dict[str, int] = {}
 
 
@@ -32,23 +38,45 @@ def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def content_key(words: list[str]) -> str:
-    return hashlib.md5(" ".join(words).encode()).hexdigest()
-
-
-def shingles(words: list[str], size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles as 64-bit numbers, and how often each occurs. A shorter text is one shingle, an empty one none."""
-    if not words:
+def word_pieces(text: str | None) -> Iterator[list[str]]:
+    """``words_of`` a text, ``PIECE`` letters at a time, cut at white space."""
+    text, start = text or "", 0
+    while start < len(text):
+        gap = SPACE.search(text, start + PIECE)
+        end = gap.start() if gap else len(text)
+        yield words_of(text[start:end])
+        start = end
+
+
+def word_ids(text: str | None) -> tuple[np.ndarray, str]:
+    """A 64-bit number for each word, and a key of the sequence of words. A long text is read in pieces."""
+    digest, parts = hashlib.md5(), [np.empty(0, np.uint64)]
+    for words in filter(None, word_pieces(text)):
+        if len(_known_words) > MOST_KNOWN:
+            _known_words.clear()
+        digest.update(((" " if len(parts) > 1 else "") + " ".join(words)).encode())
+        ids = list(map(_known_words.get, words))
+        if None in ids:
+            for word, known in zip(words, ids):
+                if known is None:
+                    _known_words[word] = xxhash.xxh3_64_intdigest(word)
+            ids = list(map(_known_words.__getitem__, words))
+        parts.append(np.array(ids, dtype=np.uint64))
+    return np.concatenate(parts), digest.hexdigest()
+
+
+def content_key(text: str | None) -> str:
+    digest, first = hashlib.md5(), True
+    for words in filter(None, word_pieces(text)):
+        digest.update((("" if first else " ") + " ".join(words)).encode())
+        first = False
+    return digest.hexdigest()
+
+
+def shingles(ids: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of ``word_ids`` as 64-bit numbers, and how often each occurs. A shorter text is one shingle, an empty one none."""
+    if not len(ids):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    if len(_known_words) > 500_000:
-        _known_words.clear()
-    ids = list(map(_known_words.get, words))
-    if None in ids:
-        for word, known in zip(words, ids):
-            if known is None:
-                _known_words[word] = xxhash.xxh3_64_intdigest(word)
-        ids = list(map(_known_words.__getitem__, words))
-    ids = np.array(ids, dtype=np.uint64)
     size = min(size, len(ids))
     n = len(ids) - size + 1
     mixed = np.full(n, np.uint64(len(ids) if len(ids) < WORDS else 0))
@@ -80,7 +108,15 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], length: int = BANDS *
             break
         parts.append((bag[there], mixed_bits(hashes[there] + np.uint64(level) * GOLDEN), weights[there], np.full(len(there), begin), np.full(len(there), size)))
         level, begin, size = level + 1, begin + size, begin + size
-    bag, seed, weight, begin, size = (np.concatenate(p) for p in zip(*parts))
+    every = [np.concatenate(p) for p in zip(*parts)]
+    for start in range(0, len(every[0]), INTERVALS):
+        _draw(out, *(x[start:start + INTERVALS] for x in every))
+    return out
+
+
+def _draw(out: np.ndarray, bag: np.ndarray, seed: np.ndarray, weight: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+    """Lets the earliest points of some intervals into the signatures ``out``."""
+    length = out.shape[1]
     time, flat = np.zeros(len(bag)), out.ravel()
     while len(bag):
         seed = seed + GOLDEN
@@ -93,7 +129,6 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], length: int = BANDS *
         np.minimum.at(flat, bag[kept] * length + position[kept], time[kept])
         on = time <= out.max(axis=1)[bag]
         bag, seed, weight, begin, size, time = (x[on] for x in (bag, seed, weight, begin, size, time))
-    return out
 
 
 def band_keys(values: np.ndarray, bands: int = BANDS) -> np.ndarray:
@@ -118,14 +153,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = 0
             while at < batch.num_rows:
                 words, total, begin = [], 0, at
-                while at < batch.num_rows and total < 100_000:
-                    words.append(words_of(batch.column(1)[at].as_py()))
-                    total += len(words[-1])
+                while at < batch.num_rows and total < 50_000:
+                    words.append(word_ids(batch.column(1)[at].as_py()))
+                    total += len(words[-1][0])
                     at += 1
-                keys = band_keys(signatures([shingles(w) for w in words]))
+                keys = band_keys(signatures([shingles(ids) for ids, _ in words]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, at - begin), batch.column(2).slice(begin, at - begin), pa.array([content_key(w) for w in words]),
-                     pa.array([len(w) for w in words], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))],
+                    [batch.column(0).slice(begin, at - begin), batch.column(2).slice(begin, at - begin), pa.array([key for _, key in words]),
+                     pa.array([len(ids) for ids, _ in words], pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))],
                     names=["doc_id", "text_key", "content", "n_words", "bands"])
 
 
@@ -138,7 +173,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             if node not in last:
                 if len(last) >= 16:
                     last.pop(next(iter(last)))
-                last[node] = shingles(words_of(column[row].as_py()))
+                last[node] = shingles(word_ids(column[row].as_py())[0])
             return last[node]
 
         with np.errstate(over="ignore"):
@@ -163,7 +198,7 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """One text per node."""
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = pa.array([content_key(words_of(t)) for t in batch.column(1).to_pylist()], pa.string())
+            keys = pa.array([content_key(t.as_py()) for t in batch.column(1)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), keys, batch.column(1)], names=["doc_id", "content", "text"])
 
     found = docs.select("doc_id", "text").mapInArrow(keyed, "doc_id long, content string, text string")
@@ -208,7 +243,7 @@ def _bag_sizes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         with np.errstate(over="ignore"):
             for batch in batches:
                 for row in range(batch.num_rows):
-                    hashes, weights = shingles(words_of(batch.column(1)[row].as_py()))
+                    hashes, weights = shingles(word_ids(batch.column(1)[row].as_py())[0])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(hashes), batch.column(0)[row].as_py())), pa.array(hashes.view(np.int64)), pa.array(weights)],
                         names=["node", "shingle", "weight"])
@@ -290,11 +325,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     with that id the one whose text has the smallest hash. All columns are kept."""
     found = stored(near_duplicates(docs).select("doc_id", "class_key", "text_key"), "near-classes")
     key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    own_id, own_key = (f"kept_{uuid.uuid4().hex}_{c}" for c in ("id", "key"))
     chosen = (
         found.groupBy("class_key").agg(F.min(key).alias("kept"))
-        .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_key").alias("kept_key"))
+        .select(F.col("kept.doc_id").alias(own_id), F.col("kept.text_key").alias(own_key))
     )
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key"))).drop("kept_id")
+    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_key)))
     if not found.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():  # rows repeated in full
-        kept = kept.withColumn("kept_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["kept_id", "kept_key"]).drop("kept_id")
+        kept = kept.withColumn(own_id, F.coalesce(own_id, F.lit(-1))).dropDuplicates([own_id, own_key])
     return kept.select(*docs.columns)

@@ -1,5 +1,7 @@
 """Dropping lines whose template recurs across documents, with a fixed-depth template tree. DataFrame functions only."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ LEAST_SHARE = 0.25
 #: Share of a template's tokens that must be constant.
 LEAST_CONSTANT = 0.75
 VARIABLE = "<*>"
+#: Bits of the map that tells which lines' texts are needed, and bits per row of it.
+MAP_BITS, ROW_BITS = 1 << 26, 32_768
 # For the pipeline's rule (``whole``):
 #: A line is a text's own if no other text has a line with the same first or the same last so many tokens; so edits within a line of a copy don't make it its own.
 ANCHOR = 6
@@ -35,21 +39,23 @@ def _needed(whole: bool) -> Column:
     return needed
 
 
-def _unlike(keyed: DataFrame, found: DataFrame) -> DataFrame:
+def _unlike(known: DataFrame, found: DataFrame) -> DataFrame:
     """``text_key, own, leader`` of the texts in ``found``: the share of a text's tokens that stand in lines of its own, and the text that it counts as
     if that share is small.
 
     An anchor is the start or the end of a line. The leader of an anchor is one of the texts that have it, best one with much of its own. A text's leader is that of
     most of its tokens, where an anchor that many texts have weighs less: copies share their rare lines too, unlike texts only the common ones.
     """
-    tokens = F.regexp_extract_all(F.regexp_replace("line", "[0-9]+", VARIABLE), F.lit(f"({WORD})"), 1)
+    masked = F.transform(F.split("text", "\n"), lambda x, k: F.struct(
+        k.alias("place"), F.regexp_extract_all(F.regexp_replace(x, "[0-9]+", VARIABLE), F.lit(f"({WORD})"), F.lit(1)).alias("tokens")))
+    ends = F.transform(F.filter(masked, lambda x: F.size(x["tokens"]) > 0), lambda x: F.struct(
+        x["place"].alias("place"), F.size(x["tokens"]).alias("n"), F.array(
+            F.xxhash64(F.lit("first"), F.slice(x["tokens"], F.lit(1), F.lit(ANCHOR))),
+            F.xxhash64(F.lit("last"), F.slice(x["tokens"], F.greatest(F.size(x["tokens"]) - ANCHOR + 1, F.lit(1)), F.lit(ANCHOR)))).alias("anchors")))
     pieces = (
-        keyed.join(found.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key", "place"])
-        .select("text_key", "place", tokens.alias("tokens")).withColumn("n", F.size("tokens")).filter("n > 0")
-        .withColumn("anchor", F.explode(F.array(
-            F.xxhash64(F.lit("first"), F.slice("tokens", 1, ANCHOR)),
-            F.xxhash64(F.lit("last"), F.slice("tokens", F.greatest(F.col("n") - ANCHOR + 1, F.lit(1)), ANCHOR)))))
-        .select("text_key", "place", "n", "anchor")
+        known.select("text_key", F.inline(ends))
+        .join(found.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key", "place"])
+        .select("text_key", "place", "n", F.explode("anchors").alias("anchor"))
     )
     pieces = stored(pieces, "templates-pieces")
     common = (
@@ -65,6 +71,44 @@ def _unlike(keyed: DataFrame, found: DataFrame) -> DataFrame:
     return owned.join(best, "text_key", "left").select("text_key", "own", F.coalesce("leader", "text_key").alias("leader"))
 
 
+def _masked(text: str) -> Column:
+    """The lines of a text with at least ``LEAST_TOKENS`` tokens, digits masked, as an array of ``place, line, tokens``."""
+    masked = F.transform(F.split(text, "\n"), lambda x, k: F.struct(k.alias("place"), F.regexp_replace(x, "[0-9]+", VARIABLE).alias("line")))
+    split = F.transform(masked, lambda x: F.struct(x["place"].alias("place"), x["line"].alias("line"),
+                                                   F.regexp_extract_all(x["line"], F.lit(f"({WORD})"), F.lit(1)).alias("tokens")))
+    return F.filter(split, lambda x: F.size(x["tokens"]) >= LEAST_TOKENS)
+
+
+def _numbers(lines: Column) -> Column:
+    """``place``, number of tokens ``n``, and hashes of the leaf and of the line."""
+    return F.transform(lines, lambda x: F.struct(
+        x["place"].alias("place"), F.size(x["tokens"]).alias("n"),
+        F.xxhash64(F.size(x["tokens"]), *[F.element_at(x["tokens"], k + 1) for k in range(DEPTH)]).alias("leaf"), F.xxhash64(x["line"]).alias("line")))
+
+
+def _tokens(known: DataFrame, each: DataFrame) -> DataFrame:
+    """``each`` with the tokens of its lines, read from the documents that it names.
+
+    A map of ``MAP_BITS`` bits, whose size doesn't depend on the data, goes to all tasks and keeps most other lines from being shuffled; the join
+    that follows is exact.
+    """
+    def bit(*of: Column) -> Column:
+        return F.pmod(F.xxhash64(*of), F.lit(MAP_BITS))
+
+    wanted = bit(F.col("text_key"), F.col("place"))
+    bits = F.broadcast(each.groupBy(F.floor(wanted / ROW_BITS).alias("row")).agg(F.bitmap_construct_agg(wanted % ROW_BITS).alias("bits")))
+    place = bit(F.col("text_key"), F.col("line_place"))
+    here = (
+        known.select("text_key", F.inline(_masked("text")).alias("line_place", "line", "tokens")).drop("line").withColumn("bit", place)
+        .join(bits, F.floor(F.col("bit") / ROW_BITS) == F.col("row"))
+        .filter(F.expr(f"(conv(hex(substring(bits, int(bit % {ROW_BITS} div 8) + 1, 1)), 16, 10) >> int(bit % 8)) & 1 = 1"))
+        .select("text_key", F.col("line_place").alias("place"), "tokens")
+    )
+    # Copies of a text come once each; which of them comes doesn't matter.
+    one = here.groupBy("text_key", "place").agg(F.first("tokens").alias("tokens"))
+    return each.join(one, ["text_key", "place"])
+
+
 def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``doc_id, text_key, lines``: for each document with recurring lines, their places (from 0).
 
@@ -77,29 +121,26 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     with enough documents go on. There a token is constant at its place if enough documents of the leaf have it; other tokens
     become variable fields. Lines with equal templates are one; a template that is mostly constant and has enough documents recurs.
 
+    Lines pass through shuffles as hashes. Only one text of each different line of a live leaf is read again, for its tokens.
+
     Documents count by content: the smallest and the largest of their lines' md5 sums, which copies share. Counts are taken on hashes and summed on the map
     side, so a line that a third of all documents have is a few rows per task.
     """
-    keyed = (
-        docs.filter(F.col("text").isNotNull())
-        .select("doc_id", F.xxhash64("text").alias("text_key"), F.split("text", "\n").alias("raw"))
-        .withColumn("sums", F.transform("raw", lambda x: F.md5(x)))
-        .withColumn("content", F.col("text_key") if whole else F.xxhash64(F.array_min("sums"), F.array_max("sums")))
-        .select("doc_id", "text_key", "content", F.posexplode("raw").alias("place", "line"))
-    )
-    start = r"^[\x20\x09-\x0D]*" + r"[\x20\x09-\x0D]+".join([f"({WORD})"] * DEPTH)
-    lines = (
-        keyed.withColumn("n", F.regexp_count("line", F.lit(WORD))).filter(F.col("n") >= LEAST_TOKENS)
-        .withColumn("line", F.regexp_replace("line", "[0-9]+", VARIABLE))
-        .withColumn("leaf", F.xxhash64("n", *[F.regexp_extract("line", start, k + 1) for k in range(DEPTH)]))
-    )
+    known = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    content = F.col("text_key")
+    if not whole:
+        sums = F.transform(F.split("text", "\n"), lambda x: F.md5(x))
+        content = F.xxhash64(F.array_min(sums), F.array_max(sums))
+    lines = stored(
+        known.select("doc_id", "text_key", content.alias("content"), F.inline(_numbers(_masked("text")))), "templates-lines")
     leaves = lines.groupBy("leaf", "n", "content").agg(F.lit(1).alias("one")).groupBy("leaf", "n").agg(F.count("*").alias("contents"))
     leaves = stored(leaves.filter(F.col("contents") >= _needed(whole)).select("leaf", _needed(whole).alias("needed")), "templates-leaves")
-    held = stored(lines.join(leaves, "leaf").select("doc_id", "text_key", "content", "place", "leaf", "line"), "templates-lines")
+    held = stored(lines.join(leaves, "leaf").select("doc_id", "text_key", "content", "place", "leaf", "line"), "templates-held")
 
-    each = held.groupBy("leaf", "line", "content").agg(F.lit(1).alias("one")).groupBy("leaf", "line").agg(F.count("*").alias("contents"))
-    each = stored(each, "templates-each")
-    tokens = each.select("leaf", "line", "contents", F.posexplode(F.regexp_extract_all("line", F.lit(f"({WORD})"), 1)).alias("at", "token"))
+    each = held.groupBy("leaf", "line", "content").agg(F.min(F.struct("text_key", "place")).alias("at")).groupBy("leaf", "line").agg(
+        F.count("*").alias("contents"), F.min("at").alias("at"))
+    each = stored(each.select("leaf", "line", "contents", "at.text_key", "at.place"), "templates-each")
+    tokens = stored(_tokens(known, each).select("leaf", "line", "contents", F.posexplode("tokens").alias("at", "token")), "templates-tokens")
     constant = stored(
         tokens.groupBy("leaf", "at", "token").agg(F.sum("contents").alias("support")).join(leaves, "leaf")
         .filter(F.col("support") >= F.col("needed")).drop("support", "needed"), "templates-constant")
@@ -117,7 +158,7 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     found = stored(held.join(named, ["leaf", "line"]).select("doc_id", "text_key", "content", "place", "template", "needed"), "templates-found")
     if whole:
         counted = (
-            found.groupBy("template", "needed", "text_key").agg(F.lit(1).alias("one")).join(stored(_unlike(keyed, found), "templates-unlike"), "text_key")
+            found.groupBy("template", "needed", "text_key").agg(F.lit(1).alias("one")).join(stored(_unlike(known, found), "templates-unlike"), "text_key")
             .withColumn("content", F.when(F.col("own") >= F.when(F.col("needed") < LEAST_DOCUMENTS, NEAR_SHARE).otherwise(OWN_SHARE), F.col("text_key")).otherwise(F.col("leader")))
         )
         recurring = (
@@ -137,19 +178,20 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
 def drop_recurring(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and two new columns, ``n_lines`` and ``n_dropped``.
 
-    All columns are kept. A document whose lines all recur stays, with an empty text; NULL texts stay NULL (0 lines), an
-    empty text is one line. Repeated rows are treated alike; NULL ids too. An empty table gives no rows. ``whole``: see ``recurring_lines``.
+    All columns are kept, but ``n_lines`` and ``n_dropped``, which are replaced. A document whose lines all recur stays, with an empty text; NULL texts stay NULL
+    (0 lines), an empty text is one line. Repeated rows are treated alike; NULL ids too. An empty table gives no rows. ``whole``: see ``recurring_lines``.
     """
-    found = stored(recurring_lines(docs, whole), "templates-drops").select(
-        F.col("doc_id").alias("drop_id"), F.col("text_key").alias("drop_key"), F.col("lines").alias("drop_lines"))
+    own = [f"drop_{uuid.uuid4().hex}_{c}" for c in ("id", "key", "lines")]
+    found = stored(recurring_lines(docs, whole), "templates-drops").toDF(*own)
+    drop_id, drop_key, drop_lines = map(F.col, own)
     split = F.split("text", "\n")
-    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(F.col("drop_lines"), i)), "\n")
+    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(drop_lines, i)), "\n")
     return (
-        docs.join(found, F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.xxhash64("text") == F.col("drop_key")), "left")
+        docs.join(found, F.col("doc_id").eqNullSafe(drop_id) & (F.xxhash64("text") == drop_key), "left")
         .withColumns({
             "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long"),
-            "n_dropped": F.coalesce(F.size("drop_lines"), F.lit(0)).cast("long"),
-            "text": F.when(F.col("drop_lines").isNull(), F.col("text")).otherwise(kept),
+            "n_dropped": F.coalesce(F.size(drop_lines), F.lit(0)).cast("long"),
+            "text": F.when(drop_lines.isNull(), F.col("text")).otherwise(kept),
         })
-        .select(*docs.columns, "n_lines", "n_dropped")
+        .select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
     )

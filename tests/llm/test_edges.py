@@ -66,3 +66,27 @@ def test_vectors_without_direction(spark):
     assert [(r["rank"], r.vec_id, round(r.score, 9)) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 5, 1.0), (2, 6, 0.0), (3, 7, 0.0)]
     with pytest.raises(ValueError):
         neighbours.nearest(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<float>"), F.lit(True))
+
+
+def test_columns_named_like_internal_ones(spark):
+    names = ["drop_id", "drop_key", "drop_lines", "n_lines", "n_dropped", "text_key", "kept_id", "kept_key", "content", "line", "leaf", "at", "bit", "row"]
+    docs = documents(spark).drop("part", "place")
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(k))
+    got = templates.drop_recurring(docs)
+    assert got.count() == len(ROWS) and sorted(got.columns) == sorted(docs.columns)
+    assert got.filter("drop_id <> 0 OR text_key <> 5").isEmpty() and got.filter("doc_id = 2").first().n_lines == 0
+    kept = minhash.one_of_each(docs)
+    assert kept.count() == 6 and kept.columns == docs.columns and kept.filter("kept_id <> 6 OR kept_key <> 7").isEmpty()
+
+
+def test_pipeline_stages_on_odd_documents(spark, tmp_path):
+    """Every stage of the pipeline takes what its predecessor left of odd and of no documents."""
+    spark.createDataFrame([(1, 0), (5, 1), (None, 1), (7, None)], "doc_id long, toxic int").withColumn("quality", F.lit(1)).write.parquet(f"{tmp_path}/labels.parquet")
+    for rows in (ROWS, []):
+        docs = documents(spark, rows).select(*cp.COLUMNS)
+        for name, stage in cp.STAGES[:-1]:
+            docs = cp.stored(stage(spark, docs, str(tmp_path)), "odd")
+            assert docs.columns == cp.COLUMNS, name
+        pieces = cp.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert (pieces.count() > 0) == bool(docs.count())
