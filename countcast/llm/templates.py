@@ -71,21 +71,6 @@ def _unlike(known: DataFrame, found: DataFrame) -> DataFrame:
     return owned.join(best, "text_key", "left").select("text_key", "own", F.coalesce("leader", "text_key").alias("leader"))
 
 
-def _masked(text: str) -> Column:
-    """The lines of a text with at least ``LEAST_TOKENS`` tokens, digits masked, as an array of ``place, line, tokens``."""
-    masked = F.transform(F.split(text, "\n"), lambda x, k: F.struct(k.alias("place"), F.regexp_replace(x, "[0-9]+", VARIABLE).alias("line")))
-    split = F.transform(masked, lambda x: F.struct(x["place"].alias("place"), x["line"].alias("line"),
-                                                   F.regexp_extract_all(x["line"], F.lit(f"({WORD})"), F.lit(1)).alias("tokens")))
-    return F.filter(split, lambda x: F.size(x["tokens"]) >= LEAST_TOKENS)
-
-
-def _numbers(lines: Column) -> Column:
-    """``place``, number of tokens ``n``, and hashes of the leaf and of the line."""
-    return F.transform(lines, lambda x: F.struct(
-        x["place"].alias("place"), F.size(x["tokens"]).alias("n"),
-        F.xxhash64(F.size(x["tokens"]), *[F.element_at(x["tokens"], k + 1) for k in range(DEPTH)]).alias("leaf"), F.xxhash64(x["line"]).alias("line")))
-
-
 def _tokens(known: DataFrame, each: DataFrame) -> DataFrame:
     """``each`` with the tokens of its lines, read from the documents that it names.
 
@@ -99,10 +84,11 @@ def _tokens(known: DataFrame, each: DataFrame) -> DataFrame:
     bits = F.broadcast(each.groupBy(F.floor(wanted / ROW_BITS).alias("row")).agg(F.bitmap_construct_agg(wanted % ROW_BITS).alias("bits")))
     place = bit(F.col("text_key"), F.col("line_place"))
     here = (
-        known.select("text_key", F.inline(_masked("text")).alias("line_place", "line", "tokens")).drop("line").withColumn("bit", place)
+        known.select("text_key", F.posexplode(F.split("text", "\n")).alias("line_place", "line")).withColumn("bit", place)
         .join(bits, F.floor(F.col("bit") / ROW_BITS) == F.col("row"))
         .filter(F.expr(f"(conv(hex(substring(bits, int(bit % {ROW_BITS} div 8) + 1, 1)), 16, 10) >> int(bit % 8)) & 1 = 1"))
-        .select("text_key", F.col("line_place").alias("place"), "tokens")
+        .select("text_key", F.col("line_place").alias("place"),
+                F.regexp_extract_all(F.regexp_replace("line", "[0-9]+", VARIABLE), F.lit(f"({WORD})"), F.lit(1)).alias("tokens"))
     )
     # Copies of a text come once each; which of them comes doesn't matter.
     one = here.groupBy("text_key", "place").agg(F.first("tokens").alias("tokens"))
@@ -127,12 +113,19 @@ def recurring_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     side, so a line that a third of all documents have is a few rows per task.
     """
     known = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    content = F.col("text_key")
-    if not whole:
-        sums = F.transform(F.split("text", "\n"), lambda x: F.md5(x))
-        content = F.xxhash64(F.array_min(sums), F.array_max(sums))
+    keyed = known.select("doc_id", "text_key", F.split("text", "\n").alias("raw"))
+    if whole:
+        keyed = keyed.withColumn("content", F.col("text_key"))
+    else:
+        keyed = keyed.withColumn("sums", F.transform("raw", lambda x: F.md5(x))).withColumn(
+            "content", F.xxhash64(F.array_min("sums"), F.array_max("sums")))
+    start = r"^[\x20\x09-\x0D]*" + r"[\x20\x09-\x0D]+".join([f"({WORD})"] * DEPTH)
     lines = stored(
-        known.select("doc_id", "text_key", content.alias("content"), F.inline(_numbers(_masked("text")))), "templates-lines")
+        keyed.select("doc_id", "text_key", "content", F.posexplode("raw").alias("place", "line"))
+        .withColumn("n", F.regexp_count("line", F.lit(WORD))).filter(F.col("n") >= LEAST_TOKENS)
+        .withColumn("line", F.regexp_replace("line", "[0-9]+", VARIABLE))
+        .select("doc_id", "text_key", "content", "place", "n", F.xxhash64("line").alias("line"),
+                F.xxhash64("n", *[F.regexp_extract("line", start, k + 1) for k in range(DEPTH)]).alias("leaf")), "templates-lines")
     leaves = lines.groupBy("leaf", "n", "content").agg(F.lit(1).alias("one")).groupBy("leaf", "n").agg(F.count("*").alias("contents"))
     leaves = stored(leaves.filter(F.col("contents") >= _needed(whole)).select("leaf", _needed(whole).alias("needed")), "templates-leaves")
     held = stored(lines.join(leaves, "leaf").select("doc_id", "text_key", "content", "place", "leaf", "line"), "templates-held")
