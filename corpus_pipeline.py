@@ -1,7 +1,7 @@
 """A corpus pipeline: toxicity, line templates, near duplicates, mixing, packing.
 
 ``STAGES`` lists the stages in order. Each takes ``(spark, docs, sf_dir)`` with all that its predecessor kept and returns a
-DataFrame; all but the last return the columns of ``documents``. NULL texts and ids pass through as documents; empty tables stay empty.
+DataFrame; all but the last return the columns of ``documents``. NULL texts and ids pass through as documents, all of one class of near duplicates without words; empty tables stay empty.
 """
 
 import public_tokenizers
@@ -32,14 +32,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; rows repeated in full are taken equally often."""
+    """Each document as often as the mix takes it; of rows repeated in full, as often as it takes them together.
+
+    Documents without words take nothing from any share and come once each.
+    """
     sized = docs.withColumn("size", words_in(F.col("text")))
     rest = [c for c in COLUMNS if c not in ("doc_id", "source", "text")]
+    keys = ["doc_id", "source", *rest, "text_key"]
     mixed = mixing.mix(sized.select("doc_id", "source", "size", *rest, F.xxhash64("text").alias("text_key")))
-    taken = stored(mixed.groupBy("doc_id", "text_key").agg(F.round(F.avg("copies")).cast("long").alias("copies")).filter("copies > 0"), "mixed")
+    copies = F.when(F.max("size") == 0, F.count("*")).otherwise(F.sum("copies"))
+    taken = stored(mixed.groupBy(*keys).agg(copies.cast("int").alias("copies")).filter("copies > 0"), "mixed")
+    own = taken.select(*[F.col(k).alias(f"taken_{k}") for k in keys], "copies")
+    same = (F.xxhash64("text") == F.col("taken_text_key"))
+    for key in keys[:-1]:
+        same = same & F.col(key).eqNullSafe(F.col(f"taken_{key}"))
     return (
-        docs.join(taken.select(F.col("doc_id").alias("taken_id"), "text_key", "copies"),
-                  F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.xxhash64("text") == F.col("text_key")))
+        docs.join(own, same).dropDuplicates([f"taken_{key}" for key in keys])
         .select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)
     )
 
