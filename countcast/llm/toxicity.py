@@ -44,6 +44,12 @@ def edits_allowed(term: str) -> int:
     return 0 if term.endswith("*") or len(term) < 4 else 1 if len(term) < 9 else 2
 
 
+#: States of a direction and words of a worker that are remembered; beyond, they are forgotten and found anew.
+MOST_STATES, MOST_KNOWN = 60_000, 150_000
+#: A place in a state is one number: node, awaited letter and edits.
+LETTERS, EDITS = 0x110000, 4
+
+
 class Automaton:
     """The Levenshtein automata of all terms, read from both ends. Of a match's edits at most half lie in the first half of the term or at
     most half in the second one, so each direction allows only that many in the half that it reads first, where most words leave it."""
@@ -91,58 +97,67 @@ class Direction:
                 self.stems[node] = term
             else:
                 self.ends[node] = term
+        self._forget()
+
+    def _forget(self) -> None:
         self.states: list[tuple] = []
         self.known: dict[tuple, int] = {}
         self.moves: list[dict[str, int]] = []
         self.found: list[tuple[str, int] | None] = []
-        self.start = self._state({(0, ""): 0}, None)
+        self.start = self._state({0: 0}, None)
 
-    def _state(self, places: dict[tuple[int, str], int], stem: str | None) -> int:
-        """Adds what skipped term letters reach, and names the state; -1 if nothing is left."""
-        todo = [(node, edits) for (node, awaited), edits in places.items() if not awaited]
+    def _state(self, places: dict[int, int], stem: str | None) -> int:
+        """Adds what skipped term letters reach, and names the state; -1 if nothing is left. A place is ``node * LETTERS + awaited``."""
+        todo = [(place // LETTERS, edits) for place, edits in places.items() if not place % LETTERS]
         while todo:
             node, edits = todo.pop()
             for child in self.children[node].values():
-                if edits + 1 <= self.allowed[child] and edits + 1 < places.get((child, ""), 99):
-                    places[child, ""] = edits + 1
+                if edits + 1 <= self.allowed[child] and edits + 1 < places.get(child * LETTERS, 99):
+                    places[child * LETTERS] = edits + 1
                     todo.append((child, edits + 1))
-        stem = stem or min((self.stems[n] for (n, awaited), e in places.items() if not awaited and e == 0 and self.stems[n]), default=None)
+        here = [(place // LETTERS, edits) for place, edits in places.items() if not place % LETTERS]
+        stem = stem or min((self.stems[n] for n, e in here if e == 0 and self.stems[n]), default=None)
         if not places and stem is None:
             return -1
-        key = (stem, *sorted(places.items()))
+        key = (stem, *sorted(place * EDITS + edits for place, edits in places.items()))
         if key not in self.known:
             self.known[key] = len(self.states)
-            self.states.append((dict(places), stem))
+            self.states.append(key)
             self.moves.append({})
-            ends = [(e, self.ends[n]) for (n, awaited), e in places.items() if not awaited and self.ends[n] and e <= edits_allowed(self.ends[n])]
+            ends = [(e, self.ends[n]) for n, e in here if self.ends[n] and e <= edits_allowed(self.ends[n])]
             best = min(ends, default=None)
             # A stem at the start of a word counts as it is, unless the word is a term.
             self.found.append((best[1], best[0]) if best and (best[0] == 0 or not stem) else (stem, 0) if stem else None)
         return self.known[key]
 
     def _move(self, state: int, letter: str) -> int:
-        places, stem = self.states[state]
-        after: dict[tuple[int, str], int] = {}
+        stem, *packed = self.states[state]
+        after: dict[int, int] = {}
 
-        def reach(node: int, awaited: str, edits: int) -> None:
+        def reach(node: int, awaited: int, edits: int) -> None:
             if edits == 0 or edits <= self.allowed[node]:
-                after[node, awaited] = min(after.get((node, awaited), 99), edits)
+                place = node * LETTERS + awaited
+                after[place] = min(after.get(place, 99), edits)
 
-        for (node, awaited), edits in places.items():
+        for number in packed:
+            place, edits = divmod(number, EDITS)
+            node, awaited = divmod(place, LETTERS)
             if awaited:
-                if awaited == letter:
-                    reach(node, "", edits)
+                if awaited == ord(letter):
+                    reach(node, 0, edits)
                 continue
-            reach(node, "", edits + 1)  # an extra letter in the word
+            reach(node, 0, edits + 1)  # an extra letter in the word
             for other, child in self.children[node].items():
-                reach(child, "", edits + (other != letter))
+                reach(child, 0, edits + (other != letter))
                 if other != letter and letter in self.children[child]:
-                    reach(self.children[child][letter], other, edits + 1)
+                    reach(self.children[child][letter], ord(other), edits + 1)
         self.moves[state][letter] = found = self._state(after, stem)
         return found
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term within the edits it allows, and the number of edits."""
+        if len(self.states) > MOST_STATES:
+            self._forget()
         state = self.start
         for letter in word:
             following = self.moves[state].get(letter)
@@ -335,7 +350,7 @@ def _measured(docs: DataFrame, terms: dict[str, float], *keep: str) -> DataFrame
         for batch in batches:
             rows = []
             for text in batch.column(batch.num_columns - 1):
-                if len(known) > 500_000:
+                if len(known) > MOST_KNOWN:
                     known.clear()
                 rows.append(features(text.as_py(), matcher, weights, known))
             yield pa.RecordBatch.from_arrays(
