@@ -21,6 +21,8 @@ BANDS, ROWS = 32, 4
 #: Buckets of up to so many documents are compared pair by pair, larger ones through leaders first.
 SMALL_BUCKET = 24
 LEADERS = 3
+#: Parts by hash into which shared shingles are counted, to bound how much two texts can overlap.
+SHARES = 64
 
 #: Letters of a text that are cut into words at a time, words whose numbers a worker remembers, and intervals that are drawn at a time.
 PIECE, MOST_KNOWN, INTERVALS = 1 << 20, 100_000, 1 << 17
@@ -238,7 +240,8 @@ def _first_pairs(live: DataFrame) -> DataFrame:
 
 
 def _bag_sizes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, weight, common``: the number of shingles, and of those that some other of the nodes has too."""
+    """``node, weight, common, shares``: the number of shingles, and of those that some other of the nodes has too, as a whole and by parts
+    of the shingles' hashes."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
@@ -249,20 +252,27 @@ def _bag_sizes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
                         names=["node", "shingle", "weight"])
 
     rows = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(explode, "node long, shingle long, weight long")
+    share = F.pmod("shingle", F.lit(SHARES)).cast("int").alias("share")
     # A shingle of one node is a single row from the first count on; only its owner's number of those is needed.
     alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight")).filter("n = 1")
-    alone = alone.groupBy("node").agg(F.sum("weight").alias("alone"))
+    alone = alone.groupBy("node", share).agg(F.sum("weight").alias("alone"))
+    parts = (
+        rows.groupBy("node", share).agg(F.sum("weight").alias("weight")).join(alone, ["node", "share"], "left")
+        .withColumn("common", F.col("weight") - F.coalesce("alone", F.lit(0)))
+    )
     return (
-        rows.groupBy("node").agg(F.sum("weight").alias("weight")).join(alone, "node", "left")
-        .select("node", "weight", (F.col("weight") - F.coalesce("alone", F.lit(0))).alias("common"))
+        parts.groupBy("node").agg(F.sum("weight").alias("weight"), F.sum("common").alias("common"),
+                                  F.map_from_entries(F.collect_list(F.struct("share", "common"))).alias("of_share"))
+        .select("node", "weight", "common", F.expr(f"transform(sequence(0, {SHARES - 1}), k -> coalesce(of_share[k], 0L))").alias("shares"))
     )
 
 
 def _last_pairs(live: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of large buckets that could still join two groups.
 
-    Nodes already in one group need no link. Two nodes overlap at most in what each shares with any other node, which bounds their similarity;
-    in a group of copies with edits of their own, that leaves hardly a pair. The bound stands in the join's condition, so other pairs are
+    Nodes already in one group need no link. Two nodes overlap at most in what each shares with any other node, which bounds their similarity, and
+    at most by the smaller of their counts in each part of the shingles' hashes: edits at different places of a text lie in different parts,
+    so that bound is close to the true overlap, and in a family of edited copies hardly a pair is left but links. The bound stands in the join's condition, so other pairs are
     never made.
     """
     large = (
@@ -274,11 +284,14 @@ def _last_pairs(live: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFra
     sizes = stored(_bag_sizes(texts, open_.select("node").distinct()), "near-sizes")
     # A node that shares too little with all others together can't be linked to any.
     sized = open_.join(sizes.filter(F.col("common") >= SIMILAR * F.col("weight")), "node")
-    a, b = (sized.select("bucket", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "group", "weight", "common")]) for x in ("lo", "hi"))
+    a, b = (sized.select("bucket", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "group", "weight", "common", "shares")]) for x in ("lo", "hi"))
     overlap = F.least("lo_common", "hi_common")
+    closer = F.aggregate(F.zip_with("lo_shares", "hi_shares", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda total, x: total + x)
     return (
         a.join(b, (a["bucket"] == b["bucket"]) & (F.col("lo_node") < F.col("hi_node")) & (F.col("lo_group") != F.col("hi_group"))
-               & (overlap >= SIMILAR * (F.col("lo_weight") + F.col("hi_weight") - overlap)))
+               & (overlap >= SIMILAR * (F.col("lo_weight") + F.col("hi_weight") - overlap))
+               # Overlap o reaches the similarity s of the union w - o if (1 + s) o >= s w; a thousandth allows for rounding.
+               & (closer * (1 + SIMILAR) + 0.001 >= SIMILAR * (F.col("lo_weight") + F.col("hi_weight"))))
         .select(F.col("lo_node").alias("lo"), F.col("hi_node").alias("hi")).distinct()
     )
 
