@@ -255,15 +255,15 @@ def _bag_sizes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     share = F.pmod("shingle", F.lit(SHARES)).cast("int").alias("share")
     # A shingle of one node is a single row from the first count on; only its owner's number of those is needed.
     alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight")).filter("n = 1")
-    alone = alone.groupBy("node", share).agg(F.sum("weight").alias("alone"))
-    parts = (
-        rows.groupBy("node", share).agg(F.sum("weight").alias("weight")).join(alone, ["node", "share"], "left")
-        .withColumn("common", F.col("weight") - F.coalesce("alone", F.lit(0)))
-    )
+
+    def by_share(of: DataFrame, name: str) -> DataFrame:
+        parts = of.groupBy("node", share).agg(F.sum("weight").alias("weight"))
+        return parts.groupBy("node").agg(F.sum("weight").alias(name), F.map_from_entries(F.collect_list(F.struct("share", "weight"))).alias(f"{name}_in"))
+
     return (
-        parts.groupBy("node").agg(F.sum("weight").alias("weight"), F.sum("common").alias("common"),
-                                  F.map_from_entries(F.collect_list(F.struct("share", "common"))).alias("of_share"))
-        .select("node", "weight", "common", F.expr(f"transform(sequence(0, {SHARES - 1}), k -> coalesce(of_share[k], 0L))").alias("shares"))
+        by_share(rows, "weight").join(by_share(alone, "alone"), "node", "left")
+        .select("node", "weight", (F.col("weight") - F.coalesce("alone", F.lit(0))).alias("common"),
+                F.expr(f"transform(sequence(0, {SHARES - 1}), k -> coalesce(weight_in[k], 0L) - coalesce(alone_in[k], 0L))").alias("shares"))
     )
 
 
