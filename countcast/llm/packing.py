@@ -29,13 +29,14 @@ def cut_documents(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame
     integers. ``place`` numbers the pieces of one length within a ``block``, which is the task that cut them.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = encoder(path).encode, {}
+        slices, seen = encoder(path).slices, {}
         block = TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            doc_ids = iter(batch.column(0).to_pylist())
+            for texts in slices(batch.column(1)):
                 out = []
-                for doc_id, ids in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
+                for ids in texts:
+                    doc_id = next(doc_ids)
                     ids += np.uint32(END_ID).astype("<u4").tobytes()
                     total = len(ids) // 4
                     for start in range(0, total, window):

@@ -32,7 +32,6 @@ def texts(docs):
 @pytest.fixture(scope="module")
 def ids():
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     return lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
 
 
