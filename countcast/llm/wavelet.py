@@ -140,7 +140,8 @@ def write_shards(docs: DataFrame, path: str, n_shards: int, name: str = "wavelet
     """All documents as ids in ascending ``doc_id`` order, in shards, written to the shared folder; the written table.
 
     A row is one matrix of about ``IDS_PER_MATRIX`` ids (a longer document has one of its own) with the ids and lengths of its documents. A shard is a range of ids; ``part`` orders its matrices. A
-    document is its text's ids (NULL: none) and the end id. NULL ids come first; rows with equal ids lie side by side, by text.
+    document is its text's ids (NULL: none) and the end id. NULL ids come first; rows with equal ids lie side by side, by a hash of
+    the text, so that one id's rows may fill many ranges.
     """
     def encode_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -159,9 +160,10 @@ def write_shards(docs: DataFrame, path: str, n_shards: int, name: str = "wavelet
                 names=["shard", "part", "n_ids", "doc_ids", "lengths", "matrix"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                some = batch.slice(at, 128)
-                for doc_id, ids in zip(some.column(0).to_pylist(), encode.encode(some.column(1).to_pylist())):
+            next_ids = iter(batch.column(0).to_pylist())
+            for texts in encode.slices(batch.column(1)):
+                for ids in texts:
+                    doc_id = next(next_ids)
                     ids += end
                     if total and total + len(ids) // 4 > IDS_PER_MATRIX:
                         yield matrix()
@@ -174,7 +176,8 @@ def write_shards(docs: DataFrame, path: str, n_shards: int, name: str = "wavelet
         if doc_ids:
             yield matrix()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(n_shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange(
+        n_shards, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     return stored(ordered.mapInArrow(encode_part, DOCUMENTS), name)
 
 
