@@ -159,11 +159,12 @@ def fingerprint_documents(docs: DataFrame, n_parts: int) -> DataFrame:
     the first): ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     Documents are sorted in ranges, and each task walks through its range. A range's last document needs the first one of the next range that has any;
-    these few are finished in a second step. NULL texts count as empty; a NULL id comes last; rows of one id go by text.
+    these few are finished in a second step. NULL texts count as empty; a NULL id comes last; rows of one id go by a hash
+    of their text, which also deals them over ranges, so that Spark samples no whole texts to find the ranges.
     The table's only document follows itself. An empty table gives no rows.
     """
     ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(
-        n_parts, F.desc("doc_id"), F.asc("text")).sortWithinPartitions(F.desc("doc_id"), F.asc("text"))
+        n_parts, F.desc("doc_id"), F.xxhash64("text")).sortWithinPartitions(F.desc("doc_id"), F.xxhash64("text"), F.asc("text"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, chars, first = TaskContext.get().partitionId(), [], 0, None
