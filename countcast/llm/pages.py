@@ -15,10 +15,16 @@ BLOCK_TAGS = frozenset((
     "form fieldset legend label button select option textarea blockquote pre figure figcaption address hr details summary dialog center iframe noscript"
 ).split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr param".split())
-HIDDEN_TAGS = frozenset("script style template".split())
+UNSEEN_TAGS = frozenset("template noscript svg iframe object canvas".split())
 CLOSED_BY_SAME = frozenset("p li td th tr option dt dd".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.DOTALL | re.IGNORECASE)
+#: Comments, scripts and styles whole; tags, in whose quoted values a ">" ends nothing; declarations.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+)>|<[!?][^>]*>""",
+                   re.DOTALL | re.IGNORECASE)
+QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
+HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.IGNORECASE)
+STYLE = re.compile(r"""(?:^|\s)style\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+UNSEEN_STYLE = re.compile(r"\b(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 NAME_PART = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -34,12 +40,23 @@ class Block:
     features: list[str] = field(default_factory=list)
 
 
+def is_unseen(tag: str, attributes: str) -> bool:
+    """Whether a browser shows nothing of an element, by its tag, its ``hidden`` or its own style."""
+    if tag in UNSEEN_TAGS:
+        return True
+    style = STYLE.search(attributes)
+    if style and UNSEEN_STYLE.search(style[1] or style[2] or style[3] or ""):
+        return True
+    return "hidden" in attributes.lower() and bool(HIDDEN.search(QUOTED.sub("=", attributes)))
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The texts between the borders of block elements, in page order, with their open elements and the words of those' classes and ids.
 
-    Inline elements and line breaks do not end a block. Comments, scripts and styles have no text. Unclosed elements stay open to the end of their parent.
+    Inline elements and line breaks do not end a block. Comments, scripts, styles and
+    elements that a browser hides have no text. Unclosed elements stay open to the end of their parent.
     """
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], bool]] = []
     blocks: list[Block] = []
     held: list[str] = []
     linked = [0]
@@ -48,16 +65,16 @@ def leaf_blocks(page: str) -> list[Block]:
         if held:
             text = SPACE.sub(" ", html.unescape("".join(held))).strip()
             if text:
-                inside = [t for t, _ in stack]
+                inside = [t for t, _, _ in stack]
                 blocks.append(Block(text, next((t for t in reversed(inside) if t in BLOCK_TAGS), ""), tuple(inside),
-                                    tuple(n for _, names in stack for n in names), linked[0]))
+                                    tuple(n for _, names, _ in stack for n in names), linked[0]))
             held.clear()
         linked[0] = 0
 
     def add(text: str) -> None:
-        if text:
+        if text and not any(unseen for _, _, unseen in stack):
             held.append(text)
-            if any(t == "a" for t, _ in stack):
+            if any(t == "a" for t, _, _ in stack):
                 linked[0] += len(text.strip())
 
     at = 0
@@ -85,7 +102,7 @@ def leaf_blocks(page: str) -> list[Block]:
                     if stack[k][0] in BLOCK_TAGS and stack[k][0] not in CLOSED_BY_SAME:
                         break
             names = tuple(n for m in NAMED.finditer(found.group(4)) for n in NAME_PART.findall((m[1] or m[2] or m[3] or "").lower()))
-            stack.append((tag, names))
+            stack.append((tag, names, is_unseen(tag, found.group(4))))
     add(page[at:])
     end_block()
     return blocks
@@ -163,7 +180,7 @@ class Field:
         return np.exp(alpha + beta - total), (pairs * there[:, 1:, None, None]).sum(axis=(0, 1))
 
     @classmethod
-    def train(cls, pages: list[tuple[list[list[str]], list[int]]], epochs: int = 200, rate: float = 0.1, ridge: float = 3e-4) -> "Field":
+    def train(cls, pages: list[tuple[list[list[str]], list[int]]], epochs: int = 200, rate: float = 0.1, ridge: float = 1e-4) -> "Field":
         """Weights of the largest likelihood with a small ridge, by Adam steps over the whole set."""
         pages = [(described, labels) for described, labels in pages if described]
         made = cls({f: k for k, f in enumerate(sorted({f for described, _ in pages for d in described for f in d}))})
@@ -226,9 +243,15 @@ def labelled_pages(n_pages: int = 400, seed: int = 5) -> list[tuple[list[list[st
     notices = ["cookie", "cookie-notice", "notice", "consent", "gdpr-banner", "alert", "popup", "modal"]
     sides = ["sidebar", "related", "widget", "share", "social", "recommended", "author-box", "tags", "pagination", "newsletter", "subscribe", "promo", "trending"]
 
+    single = ["comment", "comment", "user-comment", "reply"]
+    lists = ["comments", "comments", "comments", "comment-list", "reader-comments", "replies", "responses", "discussion"]
+
     def comments() -> str:
-        each = "".join(one([f'<div class="comment"><p>{sentences(1, 3)}</p></div>', f'<li class="comment"><b>{words(1, 2)}</b> {sentences(1, 3)}</li>']) for _ in range(int(random.integers(1, 5))))
-        return one([f'<section id="comments"><h3>{words(1, 3)}</h3>{each}</section>', f'<div class="{one(["comments", "comment-list", "replies", "discussion"])}">{each}</div>', f'<ol class="comments">{each}</ol>'])
+        inner = lambda: one([f"<b>{words(1, 2)}</b> {sentences(1, 3)}", f"<p>{sentences(1, 3)}</p>", f"<p>{words(1, 2)}</p><p>{sentences(1, 4)}</p>", sentences(1, 3)])
+        tag, name = one([("div", ' class="comment"'), ("li", ' class="comment"'), ("div", ""), ("li", ""), ("section", "")])
+        each = "".join(f"<{tag}{name}>{inner()}</{tag}>" for _ in range(int(random.integers(1, 5))))
+        head = one(["", f"<h3>{words(1, 3)}</h3>", f"<h2>{words(1, 2)}</h2>"])
+        return f'<{(t := one(["div", "div", "section", "ul" if tag == "li" else "div"]))} {one(["class", "id"])}="{one(lists)}">{head}{each}</{t}>'
 
     def form() -> str:
         return f'<form action="/x"><label>{words(1, 5)}</label><input name="q"><p>{sentences(1, 2)}</p><button>{words(1, 2)}</button></form>'
@@ -247,7 +270,7 @@ def labelled_pages(n_pages: int = 400, seed: int = 5) -> list[tuple[list[list[st
         # The article's pieces are marked by a letter that no other text has.
         main = [re.sub(r">([^<]+)", lambda m: ">" + "ƶ" + m[1] if m[1].strip() else m[0], part) for part in article()]
         for _ in range(int(random.integers(0, 3))):
-            main.insert(int(random.integers(1, len(main) + 1)), one([aside(adverts), aside(sides), comments(), form(), aside(notices)]))
+            main.insert(int(random.integers(1, len(main) + 1)), one([aside(adverts), aside(sides), comments(), comments(), aside(single), form(), aside(notices)]))
         inner = "".join(main)
         body = one([f"<article>{inner}</article>"] * 3 + [f"<main>{inner}</main>", f"<main><article>{inner}</article></main>"] + [
             f'<div {one(["class", "id"])}="{one(["content", "main", "post", "article", "entry-content", "story", "text", "post-body"])}">{inner}</div>'] * 3
