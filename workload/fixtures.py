@@ -13,6 +13,8 @@ SHIPPING_DAY = "2001-06-30"
 DOUBLED_FROM_YEAR = 1998
 WATCHED_DAY = "1996-07-02"
 EVENTS_DAY = "2024-01-31"
+#: Events that a first load lacks: all from a day on, and every seventh user's on days divisible by four.
+LATE = "(CAST({ts} AS DATE) >= DATE '2024-01-26' OR ({user} % 7 = 3 AND extract(DAY FROM {ts}) % 4 = 0))"
 BACKTEST_DAYS = ("2024-01-20", "2024-01-30")
 
 # Fixed log-link coefficients: mcc, intercept, slope of ma_7, slope of lag_1.

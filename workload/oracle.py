@@ -226,6 +226,17 @@ ORACLE: dict[str, str] = {
     "transactions_daily_counts": f"WITH {_daily(fx.TRANSACTIONS_RAW_SQL)} {DAILY_OUT}",
     "year_shard_union_counts": f"WITH {_daily(DENIED)} {DAILY_OUT}",
     "parquet_roundtrip": f"WITH {_daily(DENIED)} {DAILY_OUT}",
+    "refreshed_daily_counts": f"WITH {_daily(EVENT_ROWS)} {DAILY_OUT}",
+    "refreshed_days": f"""
+        WITH {_daily(EVENT_ROWS)},
+        events_of AS (
+          SELECT c.day, c.merchant_id <> '0' AND TRY_CAST(c.merchant_id AS BIGINT) IS NOT NULL AND c.mcc IS NOT NULL AS usable,
+                 {fx.LATE.format(ts="c.day", user="CAST(c.merchant_id AS BIGINT)")} AS late
+          FROM clean c),
+        loads AS (
+          SELECT day, count(*) FILTER (NOT late) AS old_total, count(*) AS new_total FROM events_of WHERE usable GROUP BY day)
+        SELECT CAST(day AS VARCHAR) AS day, CASE WHEN old_total = 0 THEN 'added' ELSE 'changed' END AS change, old_total, new_total
+        FROM loads WHERE old_total <> new_total""",
     "rejected_event_counts": """
         WITH r AS (
           SELECT CASE WHEN l_linenumber = 2 THEN 'S' || CAST(l_suppkey AS VARCHAR)

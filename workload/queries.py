@@ -34,6 +34,7 @@ from countcast.operators.scoring import score, unscorable_models, usable
 from countcast.operators.training import POISSON_POWER, fit_count_models
 from countcast.operators.trees import fit_pooled_trees, score_trees
 from countcast.plans.backfill import backfill
+from countcast.plans.refresh import Refresh, refresh_daily
 from countcast.sinks.scratch import scratch_folder, stored
 from countcast.sinks.tables import write_by_category
 from countcast.sources.shards import Shard, shards, union_shards
@@ -109,6 +110,22 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(read_daily(spark, path))
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> Refresh:
+    """A first load without the late events, then a refresh with all."""
+    path = f"{scratch_folder(spark)}/refreshed-{uuid.uuid4().hex}"
+    raw = fx.events_raw(spark, sf_dir)
+    refresh_daily(daily_counts(raw.filter("NOT " + fx.LATE.format(ts="event_ts", user="CAST(trim(merchant_id) AS BIGINT)"))), path)
+    return refresh_daily(daily_counts(raw), path)
+
+
+def refreshed_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_refreshed(spark, sf_dir).counts)
+
+
+def refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_refreshed(spark, sf_dir).changes)
+
+
 def freshness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return freshness(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY)
 
@@ -371,6 +388,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         backtest_errors, forecast_days, training_category_rows, sampled_training_rows,
         train_tweedie_glm, train_tweedie_cell_means, train_poisson_pooled, train_gbt_pooled,
         tree_feature_bins, train_tree_first_cut, train_tree_category_cut, train_tree_cell_steps, one_side_sampled_rows,
-        score_fixed_trees, backfill_messages, watched_events,
+        score_fixed_trees, backfill_messages, watched_events, refreshed_daily_counts, refreshed_days,
     ]
 }
