@@ -13,6 +13,7 @@ SHIPPING_DAY = "2001-06-30"
 DOUBLED_FROM_YEAR = 1998
 WATCHED_DAY = "1996-07-02"
 EVENTS_DAY = "2024-01-31"
+CLOSED_AFTER = 3
 #: Events that a first load lacks: all from a day on, and every seventh user's on days divisible by four.
 LATE = "(CAST({ts} AS DATE) >= DATE '2024-01-26' OR ({user} % 7 = 3 AND extract(DAY FROM {ts}) % 4 = 0))"
 BACKTEST_DAYS = ("2024-01-20", "2024-01-30")
@@ -83,7 +84,16 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Denied events over 30 days: merchant = user, category = event type."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return _event_rows(table(spark, sf_dir, "events"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream of files."""
+    return _event_rows(spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet"))
+
+
+def _event_rows(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
         "' ' || CAST(user_id AS STRING) || ' ' AS merchant_id",
         """CASE event_type WHEN 'view' THEN ' 6300 ' WHEN 'click' THEN '4816' WHEN 'purchase' THEN '5411'
                 WHEN 'error' THEN '0' ELSE CASE WHEN event_id % 2 = 0 THEN '  ' END END AS mcc""",

@@ -237,6 +237,8 @@ ORACLE: dict[str, str] = {
           SELECT day, count(*) FILTER (NOT late) AS old_total, count(*) AS new_total FROM events_of WHERE usable GROUP BY day)
         SELECT CAST(day AS VARCHAR) AS day, CASE WHEN old_total = 0 THEN 'added' ELSE 'changed' END AS change, old_total, new_total
         FROM loads WHERE old_total <> new_total""",
+    "streamed_closed_days": f"""
+        WITH {_daily(EVENT_ROWS)} {DAILY_OUT} WHERE day <= (SELECT max(day) - {fx.CLOSED_AFTER} FROM daily)""",
     "rejected_event_counts": """
         WITH r AS (
           SELECT CASE WHEN l_linenumber = 2 THEN 'S' || CAST(l_suppkey AS VARCHAR)

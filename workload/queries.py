@@ -39,6 +39,7 @@ from countcast.sinks.scratch import scratch_folder, stored
 from countcast.sinks.tables import write_by_category
 from countcast.sources.shards import Shard, shards, union_shards
 from countcast.sources.tables import read_daily
+from countcast.streaming.closed_days import write_closed_days
 from workload import fixtures as fx
 
 CURRENT_DAYS = 60
@@ -126,6 +127,14 @@ def refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_refreshed(spark, sf_dir).changes)
 
 
+def streamed_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of files, counted in one run up to three days before the newest."""
+    folder = f"{scratch_folder(spark)}/streamed-{uuid.uuid4().hex}"
+    raw = fx.events_stream(spark, sf_dir)
+    write_closed_days(raw, f"{folder}/table", f"{folder}/state", f"{fx.CLOSED_AFTER} days").awaitTermination()
+    return _shown(read_daily(spark, f"{folder}/table"))
+
+
 def freshness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return freshness(_shipping_daily(spark, sf_dir), fx.SHIPPING_DAY)
 
@@ -389,5 +398,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         train_tweedie_glm, train_tweedie_cell_means, train_poisson_pooled, train_gbt_pooled,
         tree_feature_bins, train_tree_first_cut, train_tree_category_cut, train_tree_cell_steps, one_side_sampled_rows,
         score_fixed_trees, backfill_messages, watched_events, refreshed_daily_counts, refreshed_days,
+        streamed_closed_days,
     ]
 }
