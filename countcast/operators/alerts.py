@@ -39,7 +39,8 @@ def alert_charts(alerts: DataFrame, dense: DataFrame, day: dt.date | str, days:
     """Alerts of ``day`` with chart ``labels`` and ``data``: the last days, then the forecast.
 
     ``dense`` has one row per day and merchant, so the last rows are a range of days; that range reaches
-    the scan. A group holds at most ``days`` points, and one join serves all alerts.
+    the scan. A group holds at most ``days`` points, and one join serves all alerts. It is a merge: alerts grow with the merchants, and
+    Spark takes the size of a stored table to be that of its compressed files, so it would broadcast one that fills the driver.
     """
     target = day_literal(day)
     recent = (
@@ -49,23 +50,23 @@ def alert_charts(alerts: DataFrame, dense: DataFrame, day: dt.date | str, days:
         .groupBy(*GROUP)
         .agg(F.array_sort(F.collect_list(F.struct(DAY, TOTAL))).alias("points"))
     )
-    return _with_chart(alerts.join(recent, GROUP))
+    return _with_chart(alerts.hint("merge").join(recent, GROUP))
 
 
 def alert_charts_of_days(alerts: DataFrame, dense: DataFrame, days: int = HISTORY_DAYS) -> DataFrame:
     """``alert_charts`` of alerts of any days, each with the days before its own, in one job.
 
     Each alert asks for its ``days`` days before, so the join has equal keys and makes that many rows per alert, however
-    long the range of days and however many alerts a merchant has.
+    long the range of days and however many alerts a merchant has. Both joins are merges, as in ``alert_charts``: no estimate knows of the explosion.
     """
     before = F.explode(F.sequence(F.date_sub(DAY, days), F.date_sub(DAY, 1), F.expr("interval 1 day"))).alias("past")
     points = (
-        alerts.select(*GROUP, DAY, before)
+        alerts.select(*GROUP, DAY, before).hint("merge")
         .join(dense.select(*GROUP, F.col(DAY).alias("past"), TOTAL), [*GROUP, "past"])
         .groupBy(*GROUP, DAY)
         .agg(F.array_sort(F.collect_list(F.struct(F.col("past").alias(DAY), TOTAL))).alias("points"))
     )
-    return _with_chart(alerts.join(points, [*GROUP, DAY]))
+    return _with_chart(alerts.hint("merge").join(points, [*GROUP, DAY]))
 
 
 def _with_chart(alerts: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from countcast.operators.alerts import alert_charts, alert_charts_of_days
+from countcast.operators.backtest import forecast_range
+from countcast.operators.calendar import recent_calendar
 from countcast.operators.counts import daily_counts
 from countcast.operators.features import feature_table, prediction_rows
 from countcast.operators.history import last_rows
@@ -52,6 +55,15 @@ def test_models_are_broadcast_by_size(spark, counts):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_alerts_are_not_broadcast(spark):
+    """Stored alerts look small: their files are compressed, and days before them are exploded."""
+    daily = stored(daily_counts(fx.events_raw(spark, SF)), "daily")
+    alerts = stored(forecast_range(daily, fx.fixed_models(spark), *fx.BACKTEST_DAYS).filter("notify"), "alerts")
+    dense = recent_calendar(daily, "2024-01-05", fx.BACKTEST_DAYS[1])
+    assert "BroadcastHashJoin" not in plan(alert_charts_of_days(alerts, dense))
+    assert "BroadcastHashJoin" not in plan(alert_charts(alerts, dense, fx.BACKTEST_DAYS[1]))
+
+
 def test_last_rows_are_limited_before_the_shuffle(counts):
     text = plan(last_rows(counts, 3))
     assert text.count("WindowGroupLimit") == 2
