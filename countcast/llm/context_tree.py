@@ -2,15 +2,16 @@
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from countcast.llm.common import GOLDEN, discard, mixed_bits, stored
+from countcast.llm.common import GOLDEN, mixed_bits, stored
 
 #: Bytes of context within a token, at most.
 DEPTH = 5
@@ -20,7 +21,19 @@ PHRASE_WORDS = 4
 TOKEN_END, TEXT_END = 0x20, 0x0A
 #: Tokens that share one list of distinct words, about.
 TOKENS_PER_BLOCK = 4_000_000
+#: Characters of the texts of a block that bring new words, about, at most.
+BYTES_PER_BLOCK = 100_000_000
+#: Words and places of words that are looked at together, about.
+WORDS_AT_ONCE, IDS_AT_ONCE = 30_000, 400_000
+#: Phrases of a block that mark their context, and the share of all rows from which a marked context is not gathered in one task.
+MANY_PHRASES, HOT_SHARE = 500, 1e-4
+#: What blocks get back of words (kind 2), grams (3) and phrases (4), and rows that are packed at once.
+GIVEN = {2: ["place", "n"], 3: ["place", "bits"], 4: ["place", "n", "total", "kinds"]}
+ROWS_AT_ONCE = 200_000
 END_WORD = b"\n"
+#: Last bytes of contexts by which grams are dealt, and grams that a task holds at once, about.
+ENDING = 2
+GRAMS_AT_ONCE = 100_000
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -70,163 +83,318 @@ def phrases_of(ids: np.ndarray, hashes: np.ndarray, last: np.ndarray, end: int)
         return start, context, mixed_bits(context * GOLDEN + phrase)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 to 2 ** 32, compressed byte by byte: most are small."""
+    return pa.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True) if len(x) else b""
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    if not size:
+        return np.empty(0, np.int64)
+    planes = np.frombuffer(pa.decompress(data, 4 * size, "zstd", asbytes=True), np.uint8).reshape(4, size)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+READ = "block long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, n_ids long, ids binary, counts binary, n_words long, words_size long, words binary"
+_READ = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
+                   ("n_ids", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary()), ("n_words", pa.int64()), ("words_size", pa.int64()), ("words", pa.binary())])
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block: each document's words as places in the block's list (kind 0), the list (kind 1), and the block's
-    distinct words (kind 2), grams (kind 3) and phrases after their contexts (kind 4) with their counts in training documents."""
+    """A row per block of documents: their ids, flags, numbers of words, their words as places in the block's list of words, and that list."""
     part, number = TaskContext.get().partitionId(), 0
     places: dict[bytes, int] = {}
-    counts: list[int] = []
-    held, n_tokens = [], 0
-
-    def block() -> Iterator[pa.RecordBatch]:
-        key = (part << 20) + number
-        words = list(places)
-        trained = np.bincount(np.concatenate([p for _, _, p, out in held if not out] or [np.empty(0, np.int64)]), minlength=len(words)).astype(np.int64)
-        n = len(held)
-        yield _batch(key, 0, n, doc_id=[h[0] for h in held], held_out=[h[3] for h in held], data=[h[2].astype("<i4").tobytes() for h in held])
-        yield _batch(key, 1, 1, data=[b" ".join(words)])
-        for i in range(0, len(words), 100_000):
-            some = words[i:i + 100_000]
-            yield _batch(key, 2, len(some), place=np.arange(i, i + len(some)), data=some, n=trained[i:i + len(some)])
-        grams, owner = grams_of(words)
-        distinct, at = np.unique(grams, return_inverse=True)
-        times = np.bincount(at, weights=trained[owner], minlength=len(distinct)).astype(np.int64)
-        for i in range(0, len(distinct), 100_000):
-            some = distinct[i:i + 100_000]
-            yield _batch(key, 3, len(some), place=some, n=times[i:i + 100_000])
-        ids = np.concatenate([p for _, _, p, _ in held])
-        start, context, name = phrases_of(ids, *word_hashes(words), places[END_WORD])
-        used = np.repeat([not out for *_, out in held], [len(p) for _, _, p, _ in held])[start]
-        distinct, first, at = np.unique(name, return_index=True, return_inverse=True)
-        times = np.bincount(at, weights=used, minlength=len(distinct)).astype(np.int64)
-        for i in range(0, len(distinct), 100_000):
-            some = slice(i, i + 100_000)
-            yield _batch(key, 4, len(distinct[some]), place=distinct[some].view(np.int64), context=context[first[some]].view(np.int64), n=times[some])
+    held, n_tokens, n_bytes = [], 0, 0
+
+    def block() -> pa.RecordBatch:
+        ids, words = np.concatenate([h[2] for h in held]), b" ".join(places)
+        counts = np.bincount(ids[np.repeat([not h[1] for h in held], [len(h[2]) for h in held])], minlength=len(places))
+        row = [(part << 20) + number, [h[0] for h in held], [h[1] for h in held], [len(h[2]) for h in held], len(ids), _packed(ids), _packed(counts),
+               len(places), len(words), pa.compress(words, "zstd", asbytes=True)]
+        return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, _READ.types)], names=_READ.names)
 
     for batch in batches:
         for doc_id, text, out in zip(*(c.to_pylist() for c in batch.columns)):
             words = tokens_of(text)
             words.append(END_WORD)
-            ids = np.array([places.setdefault(w, len(places)) for w in words], dtype=np.int64)
-            held.append((doc_id, None, ids, out))
+            before = len(places)
+            ids = np.array([places.setdefault(w, len(places)) for w in words], dtype=np.int32)
+            held.append((doc_id, out, ids))
             n_tokens += len(words)
-            if n_tokens >= TOKENS_PER_BLOCK:
-                yield from block()
-                number, n_tokens, held = number + 1, 0, []
-                places = {}
+            n_bytes += len(text or "") if len(places) > before else 0
+            if n_tokens >= TOKENS_PER_BLOCK or n_bytes >= BYTES_PER_BLOCK:
+                yield block()
+                number, n_tokens, n_bytes, held, places = number + 1, 0, 0, [], {}
     if held:
-        yield from block()
+        yield block()
+
+
+class Block:
+    """A block that ``_read`` made."""
+
+    def __init__(self, row: dict):
+        self.block, self.doc_ids, self.held_out = row["block"], row["doc_ids"], np.array(row["held_out"], dtype=bool)
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
+        self.packed, self.n_ids = row["ids"], row["n_ids"]
+        self.words = pa.decompress(row["words"], row["words_size"], "zstd", asbytes=True).split(b" ")
+        self.counts = _unpacked(row["counts"], row["n_words"])
+
+    @cached_property
+    def ids(self) -> np.ndarray:
+        return _unpacked(self.packed, self.n_ids)
+
+    def grams(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The place of the first word, and ``grams_of``, of some words at a time."""
+        for i in range(0, len(self.words), WORDS_AT_ONCE):
+            yield i, *grams_of(self.words[i:i + WORDS_AT_ONCE])
+
+    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where phrases start; and of the distinct ones the name, context and times in training documents, and which of them each phrase is."""
+        hashes, last = word_hashes(self.words)
+        end, stops, begin, parts = self.words.index(END_WORD), np.cumsum(self.sizes), 0, []
+        while begin < self.n_ids:
+            stop = int(stops[min(np.searchsorted(stops, begin + IDS_AT_ONCE), len(stops) - 1)])
+            start, context, name = phrases_of(self.ids[begin:stop], hashes, last, end)
+            parts.append((start + begin, context, name))
+            begin = stop
+        start, context, name = (np.concatenate(c) for c in zip(*parts))
+        used = np.repeat(~self.held_out, self.sizes)[start]
+        names, first, at = np.unique(name, return_index=True, return_inverse=True)
+        return start, names, context[first], np.bincount(at, used, len(names)).astype(np.int64), at
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield Block(batch.slice(k, 1).to_pylist()[0])
+
+
+def _rows(block: int, size: int, *columns) -> Iterator[pa.RecordBatch]:
+    arrays = [pa.array([block], pa.int64()).take(pa.array(np.zeros(size, np.int64))), *(pa.array(c) for c in columns)]
+    whole = pa.RecordBatch.from_arrays(arrays, names=[str(k) for k in range(len(arrays))])
+    for i in range(0, size, 100_000):
+        yield whole.slice(i, 100_000)
+
+
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows for blocks, all of one block and kind that a task has at hand as one compressed table."""
+    held, size = [], 0
+
+    def packs() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).sort_by([("block", "ascending"), ("kind", "ascending"), ("place", "ascending")])
+        block, kind = rows.column("block").to_numpy(), rows.column("kind").to_numpy()
+        cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), len(block)]
+        columns = {k: [rows.column(c).combine_chunks() for c in names] for k, names in GIVEN.items()}
+        for i, j in zip(cuts, cuts[1:]):
+            data = b"".join(np.ascontiguousarray(c.slice(i, j - i).to_numpy(zero_copy_only=False)).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns[kind[i]])
+            yield pa.RecordBatch.from_arrays([pa.array([block[i]]), pa.array([kind[i]], pa.int32()), pa.array([j - i], pa.int64()),
+                                              pa.array([pa.compress(data, "zstd", asbytes=True)])], names=["of_block", "kind", "size", "data"])
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= ROWS_AT_ONCE:
+            yield from packs()
+            held, size = [], 0
+    if size:
+        yield from packs()
+
+
+def _given(packs: list[dict], kind: int) -> list[np.ndarray]:
+    """The columns of a block's rows of a kind."""
+    parts = []
+    for r in packs:
+        if r["kind"] == kind:
+            width = len(GIVEN[kind])
+            planes = np.frombuffer(pa.decompress(r["data"], 8 * width * r["size"], "zstd", asbytes=True), np.uint8).reshape(width, 8, r["size"])
+            parts.append([np.ascontiguousarray(c.T).view(np.float64 if name == "bits" else np.int64).ravel() for name, c in zip(GIVEN[kind], planes)])
+    return [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64) for _ in GIVEN[kind]]
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _blocks(batches):
+        yield from _rows(b.block, len(b.words), np.arange(len(b.words)), pa.array(b.words, pa.binary()), b.counts)
 
 
-READ = "block long, kind int, doc_id long, held_out boolean, place long, context long, data binary, n long"
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _blocks(batches):
+        parts = [_summed(grams, b.counts[i + owner])[:2] for i, grams, owner in b.grams()]
+        distinct, n, _ = _summed(*(np.concatenate(c) for c in zip(*parts)))
+        yield from _rows(b.block, len(distinct), distinct, n)
 
 
-def _batch(block: int, kind: int, size: int, **columns) -> pa.RecordBatch:
-    types = {"doc_id": pa.int64(), "held_out": pa.bool_(), "place": pa.int64(), "context": pa.int64(), "data": pa.binary(), "n": pa.int64()}
-    arrays = [pa.array([block] * size, pa.int64()), pa.array([kind] * size, pa.int32())]
-    arrays += [pa.array(columns.get(name, [None] * size), kind_of) for name, kind_of in types.items()]
-    return pa.RecordBatch.from_arrays(arrays, names=["block", "kind", *types])
+def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _blocks(batches):
+        _, names, context, n, _ = b.phrases()
+        by_context, at = np.unique(context, return_inverse=True)
+        many = np.bincount(at) >= MANY_PHRASES
+        yield from _rows(b.block, len(names), names.view(np.int64), context.view(np.int64), n, many[at])
 
 
-def _log_gamma(x: str) -> str:
-    """ln of the gamma function for x >= 0.5 as SQL: Stirling's series after a shift by eight."""
-    y = f"({x} + 8)"
-    shift = " * ".join(f"({x} + {k})" for k in range(8))
-    return (f"(({y} - 0.5) * ln({y}) - {y} + {0.5 * math.log(2 * math.pi)!r} + 1 / (12 * {y}) - 1 / (360 * {y} * {y} * {y})"
-            f" + 1 / (1260 * pow({y}, 5)) - ln({shift}))")
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """ln of the gamma function for x >= 0.5: Stirling's series after a shift by eight."""
+    y = x + 8
+    shift = np.prod([x + k for k in range(8)], axis=0)
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - np.log(shift)
 
 
-#: ln of the Krichevsky-Trofimov probability of n0 zeros and n1 ones.
-_ESTIMATE = f"({_log_gamma('(n0 + 0.5D)')} + {_log_gamma('(n1 + 0.5D)')} - {math.log(math.pi)!r} - {_log_gamma('(n0 + n1 + 1D)')})"
-_NEXT_ONE = "((n1 + 0.5D) / (n0 + n1 + 1D))"
+def _estimate(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """ln of the Krichevsky-Trofimov probability of n0 zeros and n1 ones."""
+    return _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - math.log(math.pi) - _log_gamma(n0 + n1 + 1)
 
 
-def _bits(byte: Column) -> Column:
-    """The eight decisions that make a byte: the node (the bits before, with a leading one) and the bit."""
-    return F.array(*[F.struct(((byte.bitwiseAND(255) + 256) / F.lit(1 << (8 - j))).cast("int").alias("node"),
-                              F.shiftright(byte, 7 - j).bitwiseAND(1).cast("int").alias("bit")) for j in range(8)])
+def _decisions(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions that make each gram's byte, as columns: its context and node (the bits before, with a leading one) as one number, and the bit."""
+    places = np.arange(8)
+    return (grams >> 8 << 8)[:, None] | (grams & 255 | 256)[:, None] >> (8 - places), (grams[:, None] >> (7 - places) & 1).astype(bool)
 
 
-def train(grams: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
-    """For each context length from 0, ``context, node, acc, rest``: what the mixture of all shorter contexts says.
+def _shorter(nodes: np.ndarray, d: int) -> np.ndarray:
+    """The nodes below the last ``d`` bytes of their contexts."""
+    return nodes & (1 << 8 * (d + 1)) - 1
 
-    ``grams`` has ``gram`` (context bytes and the byte after them) and ``n``. A node is one binary decision within a context. Its weighted probability is half
+
+def _merged(nodes: np.ndarray, n0: np.ndarray, n1: np.ndarray, children: np.ndarray, d: int) -> dict[str, np.ndarray]:
+    """The level of contexts of ``d`` bytes above longer ones: a node's ``weighted`` probability is half its own estimate and half the product of its children's."""
+    nodes, below = np.unique(_shorter(nodes, d), return_inverse=True)
+    n0, n1, children = (np.bincount(below, x, len(nodes)) for x in (n0, n1, children))
+    estimate = _estimate(n0, n1)
+    weighted = np.logaddexp(estimate, children) - math.log(2)
+    return {"nodes": nodes, "n0": n0, "n1": n1, "weighted": weighted, "own": np.exp(estimate - math.log(2) - weighted), "below": below}
+
+
+def _up(grams: np.ndarray, n: np.ndarray, depth: int) -> list[dict[str, np.ndarray]]:
+    """Levels from the contexts of ``ENDING`` bytes up to those of ``depth``, of grams that training holds ``n`` times."""
+    nodes, bits = _decisions(grams)
+    nodes, at = np.unique(nodes, return_inverse=True)
+    at, times = at.ravel(), np.repeat(n, 8).astype(float)
+    n1 = np.bincount(at, times * bits.ravel(), len(nodes))
+    n0 = np.bincount(at, times, len(nodes)) - n1
+    levels = [{"nodes": nodes, "n0": n0, "n1": n1, "weighted": _estimate(n0, n1), "own": np.ones(len(nodes)), "below": at}]
+    for d in range(depth - 1, ENDING - 1, -1):
+        last = levels[0]
+        levels.insert(0, _merged(last["nodes"], last["n0"], last["n1"], last["weighted"], d))
+    return levels
+
+
+def _shares(level: dict[str, np.ndarray], acc: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``acc`` and ``rest`` of a level's nodes from those of the contexts one byte shorter."""
+    one = (level["n1"] + 0.5) / (level["n0"] + level["n1"] + 1)
+    return acc + rest * level["own"] * one, rest * (1 - level["own"])
+
+
+def _whole_endings(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Grams, their counts and blocks, about ``GRAMS_AT_ONCE`` rows at a time; those whose contexts end alike, which follow one another, stay together."""
+    held, size = [], 0
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns[:3]])
+        size += batch.num_rows
+        if size >= GRAMS_AT_ONCE:
+            rows = [np.concatenate(c) for c in zip(*held)]
+            ending = _shorter(rows[0], ENDING) >> 8
+            cut = len(ending) - int(np.argmax(ending[::-1] != ending[-1])) if ending[0] != ending[-1] else 0
+            if cut:
+                yield [c[:cut] for c in rows]
+            held, size = [[c[cut:] for c in rows]], len(ending) - cut
+    if size:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _by_ending(grams: DataFrame) -> DataFrame:
+    ending = F.shiftright("gram", 8).bitwiseAND((1 << 8 * ENDING) - 1)
+    return grams.select("gram", "n", "block", ending.alias("ending")).repartition("ending").sortWithinPartitions("ending")
+
+
+def _summed(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams, their counts, and which of them each row has."""
+    grams, at = np.unique(grams, return_inverse=True)
+    return grams, np.bincount(at, n, len(grams)).astype(np.int64), at
+
+
+def train(grams: DataFrame, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """What the mixture of the contexts of no and one byte says: ``acc`` and ``rest`` by context byte and node.
+
+    ``grams`` has ``block``, ``gram`` (context bytes and the byte after them) and ``n``. A node is one binary decision within a context. Its weighted probability is half
     its own Krichevsky-Trofimov estimate and half the product of its children's, the contexts one byte longer. So after training, the chance of a one is
     a mixture along the path of contexts: ``acc`` sums the shares of the contexts up to here, and ``rest`` is the share of longer ones. The counts are summed over all training data.
+
+    Grams meet those whose contexts end alike in ``ENDING`` bytes, all levels of which are worked out there; the two levels of shorter contexts have
+    at most 65,280 nodes and are worked out in the driver.
     """
-    counted = (
-        grams.filter("n > 0").select(F.shiftrightunsigned("gram", 8).alias("context"), F.explode(_bits(F.col("gram"))).alias("b"), "n")
-        .groupBy("context", F.col("b.node").alias("node"))
-        .agg(F.sum(F.when(F.col("b.bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("b.bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
-        .withColumn("weighted", F.expr(_ESTIMATE)).withColumn("own", F.lit(1.0))
-    )
-    levels = [stored(counted, "tree-up")]
-    for d in range(depth - 1, -1, -1):
-        above = (
-            levels[0].groupBy(F.col("context").bitwiseAND((1 << 8 * d) - 1).alias("context"), "node")
-            .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("children"))
-            .withColumn("estimate", F.expr(_ESTIMATE))
-            .withColumn("weighted", F.greatest("estimate", "children") + F.log1p(F.exp(-F.abs(F.col("estimate") - F.col("children")))) - math.log(2))
-            .withColumn("own", F.exp(F.col("estimate") - math.log(2) - F.col("weighted")))
-            .drop("estimate", "children")
-        )
-        levels.insert(0, stored(above, "tree-up"))
-    mixed = []
-    for d, level in enumerate(levels):
-        level = level.withColumn("one", F.expr(_NEXT_ONE))
-        if d == 0:
-            here = level.select("context", "node", (F.col("own") * F.col("one")).alias("acc"), (1 - F.col("own")).alias("rest"))
-        else:
-            shorter = mixed[-1].select(F.col("context").alias("short"), "node", F.col("acc").alias("acc0"), F.col("rest").alias("rest0"))
-            here = (
-                level.withColumn("short", F.col("context").bitwiseAND((1 << 8 * (d - 1)) - 1)).join(shorter, ["short", "node"])
-                .select("context", "node", (F.col("acc0") + F.col("rest0") * F.col("own") * F.col("one")).alias("acc"),
-                        (F.col("rest0") * (1 - F.col("own"))).alias("rest"))
-            )
-        mixed.append(stored(here, "tree-down"))
-    discard(*levels)
-    return mixed
-
-
-def gram_scores(grams: DataFrame, mixed: list[DataFrame]) -> DataFrame:
-    """``gram, bits``: log10 of the chance of each gram's byte after its context. A decision that a context has not seen in training has
-    even chances there and in all longer ones, as the estimator of no data gives."""
-    depth = len(mixed) - 1
-    asked = grams.select("gram", F.shiftrightunsigned("gram", 8).alias("whole"), F.explode(_bits(F.col("gram"))).alias("b")).select(
-        "gram", "whole", F.col("b.node").alias("node"), F.col("b.bit").alias("bit"), F.lit(False).alias("found"), F.lit(0.5).alias("one"))
-    # Nearly all decisions are found at full length; the others go on to the next shorter context.
-    known, held = [], []
-    for d in range(depth, -1, -1):
-        level = mixed[d].select(F.col("context").alias("whole"), "node", F.lit(True).alias("there"), "acc", "rest")
-        joined = asked.withColumn("whole", F.col("whole").bitwiseAND((1 << 8 * d) - 1)).join(level, ["whole", "node"], "left")
-        joined = joined.select("gram", "whole", "node", "bit", "there", (F.col("acc") + 0.5 * F.col("rest")).alias("one"))
-        if d:
-            joined = stored(joined, "gram-level")
-            held.append(joined)
-        known.append((joined.filter("there") if d else joined).select("gram", "bit", F.coalesce("one", F.lit(0.5)).alias("one")))
-        if d:
-            asked = joined.filter("there is null").select("gram", "whole", "node", "bit")
-    every = known[0]
-    for part in known[1:]:
-        every = every.unionByName(part)
-    chance = F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one"))
-    scores = stored(every.groupBy("gram").agg(F.sum(F.log10(chance)).alias("bits")), "gram-scores")
-    discard(*held)
-    return scores
-
-
-def phrase_shares(phrases: DataFrame) -> DataFrame:
-    """``name, seen, rest`` of every phrase whose context occurs in training: ``seen`` is the chance that this context gives the phrase by itself,
-    ``rest`` the share that it leaves to the tree of bytes.
-
-    ``phrases`` has ``name, context, n``. A context of ``total`` training phrases, ``kinds`` of them different, has decided ``total`` times whether its
-    next phrase is new to it, and ``kinds`` times that it is; the Krichevsky-Trofimov estimate of that decision is ``rest``. A phrase that is not new has the
-    chance of its frequency. So the chances of all phrases after a context add up to one.
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, n, _ in _whole_endings(batches):
+            gram, n, _ = _summed(rows, n)
+            level = _up(gram[n > 0], n[n > 0], depth)[0]
+            nodes, at = np.unique(_shorter(level["nodes"], 1), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), *(pa.array(np.bincount(at, level[c], len(nodes))) for c in ("n0", "n1", "weighted"))],
+                                             names=["node", "n0", "n1", "children"])
+
+    sums = _by_ending(grams).mapInArrow(up, "node long, n0 double, n1 double, children double").groupBy("node").agg(
+        *[F.sum(c).alias(c) for c in ("n0", "n1", "children")]).orderBy("node").collect()
+    nodes, *counts = (np.array([r[c] for r in sums], kind) for c, kind in (("node", np.int64), ("n0", float), ("n1", float), ("children", float)))
+    ones = _merged(nodes, *counts, 1)
+    none = _merged(nodes, ones["n0"], ones["n1"], ones["weighted"], 0)
+    acc, rest = np.zeros(256), np.ones(256)
+    acc[none["nodes"]], rest[none["nodes"]] = _shares(none, 0.0, 1.0)
+    acc, rest = np.tile(acc, 256), np.tile(rest, 256)
+    acc[nodes], rest[nodes] = _shares(ones, acc[nodes], rest[nodes])
+    return acc, rest
+
+
+def gram_scores(grams: DataFrame, shorter: tuple[np.ndarray, np.ndarray], depth: int = DEPTH) -> DataFrame:
+    """``block, gram, bits``: log10 of the chance of the byte of each row's gram after its context. A decision that a context has not seen in training has
+    even chances there and in all longer ones, as the estimator of no data gives. ``shorter`` is what ``train`` gave."""
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, n, block in _whole_endings(batches):
+            gram, n, place = _summed(rows, n)
+            asked, bits = _decisions(gram)
+            nodes = asked.ravel()
+            acc, rest = (x[_shorter(nodes, 1)] for x in shorter)
+            seen = np.repeat(n > 0, 8)
+            levels = _up(gram[n > 0], n[n > 0], depth)
+            above = tuple(x[_shorter(levels[0]["nodes"], 1)] for x in shorter)
+            for d, level in enumerate(levels, ENDING):
+                above = _shares(level, *(above if d == ENDING else (x[levels[d - ENDING - 1]["below"]] for x in above)))
+                # Grams that training lacks go as far as contexts have seen their decisions.
+                lost = np.flatnonzero(~seen)
+                if len(lost) and len(level["nodes"]):
+                    want = _shorter(nodes[lost], d)
+                    at = np.minimum(np.searchsorted(level["nodes"], want), len(level["nodes"]) - 1)
+                    there = level["nodes"][at] == want
+                    acc[lost[there]], rest[lost[there]] = (x[at[there]] for x in above)
+            acc[seen], rest[seen] = (x[levels[-1]["below"]] for x in above)
+            one = (acc + 0.5 * rest).reshape(bits.shape)
+            scores = np.log10(np.where(bits, one, 1 - one)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(rows), pa.array(scores[place])], names=["block", "gram", "bits"])
+
+    return _by_ending(grams).mapInArrow(down, "block long, gram long, bits double")
+
+
+def phrase_counts(phrases: DataFrame, least: float) -> DataFrame:
+    """``block, name, n, total, kinds`` of each row whose context other blocks have too: how often training has its phrase there, all phrases, and different ones.
+
+    ``phrases`` has ``block, name, context, n, many``, one row per block and name; ``many`` marks contexts that many phrases of the block follow. Rows
+    meet by context, but for contexts with more than ``least`` marked rows: their rows meet by name, and their few sums are joined.
     """
-    summed = stored(phrases.groupBy("name").agg(F.first("context").alias("context"), F.sum("n").alias("n")), "score-phrases")
-    contexts = summed.filter("n > 0").groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    rest = (F.col("kinds") + 0.5) / (F.col("total") + 1)
-    return summed.join(contexts, "context").select("name", ((1 - rest) * F.col("n") / F.col("total")).alias("seen"), rest.alias("rest"))
+    marked = phrases.filter("many").groupBy("context").agg(F.count("*").alias("rows"))
+    hot = [r["context"] for r in marked.filter(F.col("rows") > least).select("context").collect()]
+    by_context, by_name = Window.partitionBy("context"), Window.partitionBy("context", "name")
+    first = F.row_number().over(by_name.orderBy("block")) == 1
+    sums = {"n": F.sum("n").over(by_name), "first": first, "own": F.col("n")}
+    kinds = F.count(F.when(F.col("first") & (F.col("n") > 0), 1))
+    rest = phrases.filter(~F.col("context").isin(hot)) if hot else phrases
+    found = rest.select("block", "name", "context", "n").repartition("context").select("block", "name", "context", *[c.alias(k) for k, c in sums.items()]).select(
+        "block", "name", "n", F.sum("own").over(by_context).alias("total"), kinds.over(by_context).alias("kinds"),
+        (F.min("block").over(by_context) < F.max("block").over(by_context)).alias("shared")).filter("shared").drop("shared")
+    if not hot:
+        return found
+    named = phrases.filter(F.col("context").isin(hot)).select("block", "name", "context", "n")
+    parts = named.groupBy("context", "name").agg(F.sum("n").alias("n")).groupBy("context").agg(
+        F.sum("n").alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("kinds"))
+    own = named.repartition("name").select("block", "name", "context", F.sum("n").over(Window.partitionBy("name")).alias("n"))
+    return found.unionByName(own.join(F.broadcast(parts), "context").select("block", "name", "n", "total", "kinds"))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -234,72 +402,73 @@ def score(docs: DataFrame) -> DataFrame:
 
     ``docs`` has ``doc_id``, ``text`` and ``held_out``; the others are training documents. Tokens are the words of the text with A-Z in lower case and
     one end. ``score`` is the log10 probability of all bytes of all tokens: each byte given up to ``DEPTH`` bytes before it in its token, and above that tree,
-    each phrase given the two tokens before it (see ``phrase_shares``), so that passages which training documents share are foreseen.
+    each phrase given the two tokens before it, so that passages which training documents share are foreseen: a context of ``total`` training phrases,
+    ``kinds`` of them different, has decided ``total`` times whether its next phrase is new to it, and ``kinds`` times that it is; the Krichevsky-Trofimov
+    estimate of that decision is the share left to the tree of bytes. A phrase that is not new has the chance of its frequency. So the chances of all phrases after a context add up to one.
 
-    Texts are read once, into blocks that list their distinct words, grams and phrases with training counts. Counts are summed per word, gram and
-    phrase over all blocks, and each block gets back the values of its own, so nothing depends on how often a word or a
+    Texts are read once, into blocks that hold their list of distinct words. The words, grams and phrases of blocks meet those of others, with their counts in
+    training documents, and each block gets back what it cannot know by itself, so nothing depends on how often a word or a
     gram occurs, and no table of them is broadcast or held whole. NULL and empty texts are one end token. NULL ids and repeated rows are documents of their own. An empty
     table gives no rows. Without training documents all chances are even.
     """
     read = stored(docs.select("doc_id", F.col("text"), F.coalesce("held_out", F.lit(False)).alias("held_out")).mapInArrow(_read, READ), "score-read")
-    words = read.filter("kind = 2").select("block", "place", F.col("data").alias("word"), "n")
-    counts = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "score-words")
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("train_tokens"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
-    grams = read.filter("kind = 3").select("block", F.col("place").alias("gram"), "n")
-    summed = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "score-grams")
-    mixed = train(summed)
-    values = gram_scores(summed, mixed)
-    discard(summed, *mixed)
-    phrases = read.filter("kind = 4").select("block", F.col("place").alias("name"), "context", "n")
+    by_word = Window.partitionBy("word")
+    words = stored(
+        read.mapInArrow(_words, "block long, place long, word binary, n long").repartition("word")
+        .select("block", "place", "n", F.sum("n").over(by_word).alias("whole"), F.min("block").over(by_word).alias("first"), F.max("block").over(by_word).alias("last"))
+        .select("block", F.when(F.col("first") < F.col("last"), F.col("place")).alias("place"), "whole", "n", (F.col("block") == F.col("first")).alias("leads"))
+        .select("block", "place", "whole", "n", (F.col("leads") & (F.col("whole") > 0)).alias("known")), "score-words")
+    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("train_tokens"), F.count_if("known").alias("distinct")).first()
+    grams = read.mapInArrow(_grams, "block long, gram long, n long")
+    phrases = read.mapInArrow(_phrases, "block long, name long, context long, n long, many boolean")
+    least = HOT_SHARE / PHRASE_WORDS * read.agg(F.coalesce(F.sum("n_ids"), F.lit(0))).first()[0]
     none = F.lit(None)
     to_blocks = (
-        words.select("block", "place", "word").join(counts, "word")
-        .select("block", F.lit(2).alias("kind"), "place", "n", none.cast("double").alias("value"), none.cast("double").alias("rest"))
-        .unionByName(grams.select("block", "gram").join(values, "gram").select(
-            "block", F.lit(3).alias("kind"), F.col("gram").alias("place"), none.cast("long").alias("n"), F.col("bits").alias("value"), none.cast("double").alias("rest")))
-        .unionByName(phrases.select("block", "name").join(phrase_shares(phrases), "name").select(
-            "block", F.lit(4).alias("kind"), F.col("name").alias("place"), none.cast("long").alias("n"), F.col("seen").alias("value"), "rest"))
+        words.filter("place is not null").select("block", F.lit(2).alias("kind"), "place", F.col("whole").alias("n"), none.cast("double").alias("bits"),
+                                                 none.cast("long").alias("total"), none.cast("long").alias("kinds"))
+        .unionByName(gram_scores(grams, train(grams)).select("block", F.lit(3).alias("kind"), F.col("gram").alias("place"), none.cast("long").alias("n"), "bits",
+                                                             none.cast("long").alias("total"), none.cast("long").alias("kinds")))
+        .unionByName(phrase_counts(phrases, least).select("block", F.lit(4).alias("kind"), F.col("name").alias("place"), "n", none.cast("double").alias("bits"), "total", "kinds"))
     )
     mass = totals["train_tokens"] + 0.5 * (totals["distinct"] + 1)
 
-    def add_up(texts: pa.Table, known: pa.Table) -> pa.Table:
-        kind = texts.column("kind").to_numpy()
-        words = texts.column("data").filter(pa.array(kind == 1)).to_pylist()
-        words = words[0].split(b" ") if words else []
-        kinds = known.column("kind").to_numpy()
-        place = known.column("place").to_numpy()
-        counts = np.zeros(len(words))
-        counts[place[kinds == 2]] = known.column("n").filter(pa.array(kinds == 2)).to_numpy()
-        names, bits = place[kinds == 3], known.column("value").filter(pa.array(kinds == 3)).to_numpy()
+    def add_up(texts: pa.Table, given: pa.Table) -> pa.Table:
+        b, packs = Block(texts.to_pylist()[0]), given.to_pylist()
+        counts = b.counts.astype(float)
+        place, n = _given(packs, 2)
+        counts[place] = n
+        names, bits = _given(packs, 3)
         order = np.argsort(names)
-        grams, owner = grams_of(words) if words else (np.empty(0, np.int64), np.empty(0, np.int64))
-        chance = np.bincount(owner, bits[order[np.searchsorted(names, grams, sorter=order)]] if len(grams) else None, len(words))
-        length = np.bincount(owner, minlength=len(words))
-        base = np.log10((counts + 0.5) / mass) if len(words) else counts
-        rows = texts.filter(pa.array(kind == 0))
-        docs = [np.frombuffer(ids, dtype="<i4") for ids in rows.column("data").to_pylist()]
-        ids = np.concatenate(docs) if docs else np.empty(0, np.int32)
-        start, _, wanted = phrases_of(ids, *word_hashes(words), words.index(END_WORD) if words else 0)
-        found, seen, rest = place[kinds == 4].view(np.uint64), *(known.column(c).filter(pa.array(kinds == 4)).to_numpy() for c in ("value", "rest"))
-        order = np.argsort(found)
-        at = np.searchsorted(found, wanted, sorter=order)
-        at = order[np.minimum(at, len(found) - 1)] if len(found) else at
-        there = found[at] == wanted if len(found) else np.zeros(len(wanted), bool)
-        seen, rest = (np.where(there, v[at], otherwise) if len(found) else np.full(len(wanted), otherwise) for v, otherwise in ((seen, 0.0), (rest, 1.0)))
-        spelled = np.log10(rest) + (np.add.reduceat(chance[ids], start) if len(ids) else 0.0)
+        chance, length = np.zeros(len(b.words)), np.zeros(len(b.words), np.int64)
+        names, bits = names[order], bits[order]
+        for i, grams, owner in b.grams():
+            chance[i:i + owner[-1] + 1] = np.bincount(owner, bits[np.searchsorted(names, grams)])
+            length[i:i + owner[-1] + 1] = np.bincount(owner)
+        base = np.log10((counts + 0.5) / mass)
+        start, names, context, n, at = b.phrases()
+        of_context, by = np.unique(context, return_inverse=True)
+        total, kinds = (np.bincount(by, x, len(of_context))[by] for x in (n, n > 0))
+        name, *others = _given(packs, 4)
+        shared = np.searchsorted(names, name.view(np.uint64))
+        n = n.astype(float)
+        n[shared], total[shared], kinds[shared] = others
+        # After a context that training lacks the bytes have all.
+        rest = np.where(total > 0, (kinds + 0.5) / (total + 1), 1.0)
+        seen = (1 - rest) * n / np.maximum(total, 1)
+        spelled = np.log10(rest[at]) + np.add.reduceat(chance[b.ids], start)
         with np.errstate(divide="ignore"):
-            either = np.logaddexp2(np.log2(seen), spelled * math.log2(10)) / math.log2(10)
-        of_doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])[start] if docs else start
-        scores = np.bincount(of_doc, either, len(docs))
-        out = [(len(d), int((counts[d] > 0).sum()), base[d].sum(), scores[k], int(length[d].sum())) for k, d in enumerate(docs)]
-        columns = list(zip(*out)) or [[]] * 5
+            either = np.logaddexp2(np.log2(seen[at]), spelled * math.log2(10)) / math.log2(10)
+        of_doc = np.repeat(np.arange(len(b.sizes)), b.sizes)
+        scores = np.bincount(of_doc[start], either, len(b.sizes))
+        first = np.cumsum(b.sizes) - b.sizes
         return pa.table({
-            "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()),
-            "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64()), "bytes_scored": pa.array(columns[4], pa.int64())})
+            "doc_id": pa.array(b.doc_ids, pa.int64()), "held_out": pa.array(b.held_out), "n_tokens": pa.array(b.sizes),
+            "n_known": pa.array(np.add.reduceat((counts[b.ids] > 0).astype(np.int64), first)), "base_score": pa.array(np.add.reduceat(base[b.ids], first)),
+            "score": pa.array(scores), "bytes_scored": pa.array(np.add.reduceat(length[b.ids], first))})
 
     return (
-        read.filter("kind < 2").select("block", "kind", "doc_id", "held_out", "data").groupBy("block")
-        .cogroup(to_blocks.select(F.col("block").alias("of_block"), "kind", "place", "n", "value", "rest").groupBy("of_block"))
+        read.groupBy("block")
+        .cogroup(to_blocks.mapInArrow(_packs, "of_block long, kind int, size long, data binary").groupBy("of_block"))
         .applyInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bytes_scored long")
         .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals["train_tokens"]).cast("long").alias("train_tokens"), "base_score", "score",
                 "bytes_scored", (-F.col("score") * math.log2(10) / F.col("bytes_scored")).alias("bits_per_byte"))

@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips and held-out labels."""
 
 import math
+import pathlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -277,3 +278,30 @@ def test_nearest_reaches_its_recall(spark):
         scores[q] = -9
         hits.append(len(found[names[q]] & set(names[np.lexsort((names, -scores))[:5]].tolist())))
     assert sum(hits) >= 0.9 * 5 * len(hits)
+
+
+def test_context_tree_keeps_less_than_the_texts_hold(spark, texts):
+    """Blocks are stored once, compressed; their words, grams and phrases are not stored beside them."""
+    folder = spark.conf.get("spark.checkpoint.dir")
+
+    def size():
+        return sum(f.stat().st_size for f in pathlib.Path(folder).rglob("*.parquet") if not f.parent.name.startswith("_"))
+
+    before = size()
+    QUERIES["op3_context_tree"](spark, SF).collect()
+    assert size() - before < 0.75 * sum(len(t.encode()) for t in texts.values() if t)
+
+
+def test_phrases_of_hot_contexts(spark):
+    random = np.random.default_rng(5)
+    rows = {(int(b), int(n)): (int(n) % 3, int(t)) for b, n, t in zip(random.integers(0, 4, 300), random.integers(0, 60, 300), random.integers(0, 3, 300))}
+    rows[9, 1000] = 7, 2
+    frame = spark.createDataFrame([(b, n, c, t, c == 1) for (b, n), (c, t) in rows.items()], "block long, name long, context long, n long, many boolean")
+    by_name, kinds, total = Counter(), defaultdict(set), Counter()
+    for (_, n), (c, t) in rows.items():
+        by_name[n] += t
+        total[c] += t
+        kinds[c] |= {n} if t else set()
+    want = {(b, n, by_name[n], total[c], len(kinds[c])) for (b, n), (c, _) in rows.items() if c != 7}
+    for least in (1, 1e9):
+        assert {tuple(r) for r in context_tree.phrase_counts(frame, least).collect()} == want
