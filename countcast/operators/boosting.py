@@ -158,7 +158,7 @@ def _fit(features: DataFrame, means: dict, names: list[str], categorical: list[s
     spark = features.sparkSession
     borders = _borders(fit_bins(features, names, categorical, settings.max_bin), names)
     start = {mcc: math.log(max(mean, 1e-9)) for mcc, (mean, _) in means.items()}
-    rows = stored(_coded(features, names, categorical, key, borders, start), "tree-rows")
+    rows = stored(_coded(features, names, categorical, key, borders, start, settings), "tree-rows")
     n_bins = {mcc: [len(b) + 1 for b in borders[mcc]] for mcc in means}
     active = set(means)
     recent: dict[int, list[Tree]] = {mcc: [] for mcc in means}
@@ -206,15 +206,19 @@ def _borders(bins: DataFrame, names: list[str]) -> dict[int, list[np.ndarray]]:
     return found
 
 
-def _coded(features: DataFrame, names: list[str], categorical: list[str], key: list[str], borders: dict, start: dict) -> DataFrame:
-    """``mcc, key, y, codes, margin``, dealt so that a task holds few categories."""
+def _coded(features: DataFrame, names: list[str], categorical: list[str], key: list[str], borders: dict, start: dict,
+           settings: Settings) -> DataFrame:
+    """``mcc, key, y, codes, margin, times``, dealt so that a task holds few categories.
+
+    Where no rows are drawn, equal rows are one row that counts ``times``; they combine before the shuffle.
+    """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             mcc = batch.column(0).to_numpy(zero_copy_only=False)
-            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[3:]])
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[4:]])
             values = np.where(np.isnan(values), -np.inf, values)
             codes, margin = np.zeros(values.shape, dtype=np.uint8), np.zeros(len(mcc))
             for m in np.unique(mcc).tolist():
@@ -229,13 +233,16 @@ def _coded(features: DataFrame, names: list[str], categorical: list[str], key: l
                     else:
                         codes[at, f] = np.searchsorted(high, values[at, f])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(margin)],
-                names=["mcc", "key", "y", "codes", "margin"])
+                [batch.column(0), batch.column(1), batch.column(2), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(margin), batch.column(3)],
+                names=["mcc", "key", "y", "codes", "margin", "times"])
 
     numbers = features.select(
-        F.col(MCC).cast("int").alias(MCC), F.xxhash64(MCC, *key).alias("key"), F.col(TOTAL).cast("double").alias("y"),
+        F.col(MCC).cast("int").alias(MCC), F.xxhash64(MCC, *key).alias("key"), F.col(TOTAL).cast("double").alias("y"), F.lit(1.0).alias("times"),
         *[F.col(n).cast("double").alias(f"x_{i}") for i, n in enumerate(names)])
-    return numbers.repartitionByRange(MCC, "key").mapInArrow(code, "mcc int, key long, y double, codes binary, margin double")
+    if settings.row_share >= 1 and not settings.one_sided:
+        values = [f"x_{i}" for i in range(len(names))]
+        numbers = numbers.groupBy(MCC, "y", *values).agg(F.sum("times").alias("times"), F.min("key").alias("key")).select(*numbers.columns)
+    return numbers.repartitionByRange(MCC, "key").mapInArrow(code, "mcc int, key long, y double, codes binary, margin double, times double")
 
 
 def _one_sided(rows: DataFrame, settings: Settings, number: int) -> DataFrame:
@@ -286,7 +293,8 @@ def _grow(rows: DataFrame, plan: Plan) -> bool:
             if m not in open_nodes:
                 continue
             g, h = gradients(y, margin, s.power)
-            n = np.ones(len(y))
+            n = batch.column("times").to_numpy(zero_copy_only=False)[at]
+            g, h = g * n, h * n
             if plan.weighted:
                 w = batch.column("weight").to_numpy(zero_copy_only=False)[at]
                 g, h = g * w, h * w
@@ -394,9 +402,10 @@ def _with_margins(rows: DataFrame, recent: dict[int, list[Tree]]) -> DataFrame:
             margin = np.zeros(batch.num_rows)
             for _, _, at, _, _, total in _parts([batch], recent):
                 margin[at] = total
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(margin)], names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(margin), batch.column(5)], names=batch.schema.names)
 
-    return rows.select("mcc", "key", "y", "codes", "margin").mapInArrow(add, "mcc int, key long, y double, codes binary, margin double")
+    return rows.select("mcc", "key", "y", "codes", "margin", "times").mapInArrow(
+        add, "mcc int, key long, y double, codes binary, margin double, times double")
 
 
 def _node_rows(trees: dict[int, Tree], number: int, names: list[str], categorical: list[str], borders: dict) -> pa.Table:

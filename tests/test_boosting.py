@@ -162,3 +162,13 @@ def test_unknown_features_fail(spark, rows):
     models = spark.createDataFrame([(1, 0, 0, "c", 1.0, None, None, 1, 1.0), (1, 0, 1, None, None, None, 0.5, 1, None), (1, 0, 2, None, None, None, 0.5, 1, None)], TREE_SCHEMA)
     with pytest.raises(Exception, match="unknown model feature: c"):
         score(rows, models, NAMES).collect()
+
+
+def test_equal_rows_are_one_where_none_are_drawn(spark):
+    rows = spark.range(3000).selectExpr("CAST(1 AS INT) AS mcc", "id AS merchant_id", "DATE'2024-01-01' AS day", "id % 3 AS total", "CAST(id % 5 AS INT) AS x")
+    borders, start = {1: [np.arange(5.0)]}, {1: 0.0}
+    sizes = {}
+    for share in (1.0, 0.8):
+        coded = boosting._coded(rows, ["x"], ["x"], ["merchant_id", "day"], borders, start, replace(FIRST_CUT, row_share=share)).collect()
+        sizes[share] = len(coded), sum(r.times for r in coded)
+    assert sizes == {1.0: (15, 3000), 0.8: (3000, 3000)}
