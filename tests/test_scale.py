@@ -14,6 +14,7 @@ from countcast.operators.features import feature_table, prediction_rows
 from countcast.operators.history import last_rows
 from countcast.operators.merchants import best_merchant_rows, merchant_attributes
 from countcast.operators.scoring import score
+from countcast.operators.trees import dealt
 from countcast.sinks.scratch import stored
 from countcast.sources.tables import read_features
 from tests.helpers import ts
@@ -107,3 +108,8 @@ def test_best_row_of_a_hot_merchant(spark):
     assert best.count() == 501
     text = plan(best)
     assert text.index("WindowGroupLimit") < text.index("partial_max")
+
+
+def test_rows_of_the_pooled_fit_are_dealt(spark):
+    sizes = dealt(spark.range(1000).repartition(2), 100).rdd.glom().map(len).collect()
+    assert len(sizes) == 10 and max(sizes) <= 110
