@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -305,3 +306,54 @@ def test_phrases_of_hot_contexts(spark):
     want = {(b, n, by_name[n], total[c], len(kinds[c])) for (b, n), (c, _) in rows.items() if c != 7}
     for least in (1, 1e9):
         assert {tuple(r) for r in context_tree.phrase_counts(frame, least).collect()} == want
+
+
+ODD_TEXTS = [None, "", " \t\n\v\f\r", "A b\tC\nd\ve\ff\rg", "  Été\u0085x Y z\x1c\x1d\x1e\x1f ", "\x00 a\x00b", "É é K K", " one", "one ", "a " * 3000,
+             "w" * 300 + "1", "w" * 300 + "2 " + "w" * 300 + "1", "\U0001f600 x" * 3]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    for texts in (ODD_TEXTS, ODD_TEXTS[:3], [], ["x y"]):
+        words, sizes = context_tree.words_of(pa.array(texts, pa.string()))
+        want = [context_tree.tokens_of(t) for t in texts]
+        assert words.to_pylist() == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+
+
+def test_words_of_blocks_meet_in_few_rows(spark, texts):
+    """A row per block and group crosses between tasks and is stored, not one per word; counts are those of all blocks."""
+    rows = [(i, t, i % 3 == 0) for i, t in enumerate([*ODD_TEXTS, *list(texts.values())[:60], *ODD_TEXTS])]
+    read = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(4).mapInArrow(context_tree._read, context_tree.READ).cache()
+    counts = Counter(w for _, t, out in rows if not out for w in [*context_tree.tokens_of(t), context_tree.END_WORD])
+    blocks = {r.block: context_tree.Block(r.asDict()) for r in read.collect()}
+    assert len(blocks) > 1
+    for groups in (1, 7):
+        met = [r.asDict() for r in context_tree._words_met(read, groups).collect()]
+        assert len(met) <= groups * len(blocks)
+        assert sum(r["tokens"] for r in met) == sum(counts.values()) and sum(r["known"] for r in met) == len(counts)
+        for block, b in blocks.items():
+            got = context_tree._given([{**r, "kind": 2} for r in met if r["of_block"] == block], 2)[0]
+            assert [counts[b.words[k]] for k in b.by_hash()] == got.tolist()
+
+
+def test_phrases_meet_alike_in_any_number_of_groups(spark):
+    random = np.random.default_rng(7)
+    names = random.integers(-2 ** 63, 2 ** 63 - 1, 200)
+    contexts = random.integers(-2 ** 63, 2 ** 63 - 1, 12)
+    rows = {(int(b), int(k)): int(n) for b, k, n in zip(random.integers(0, 5, 600), random.integers(0, 200, 600), random.integers(0, 3, 600))}
+    frame = spark.createDataFrame([(b, int(names[k]), int(contexts[k % 12]), n, k % 12 < 2) for (b, k), n in rows.items()], "block long, name long, context long, n long, many boolean")
+    want = None
+    for least in (1, 1e9):
+        for groups in (1, 5, 64):
+            got = sorted(tuple(r) for r in context_tree.phrase_counts(frame, least, groups).collect())
+            assert len(got) == len(rows) and (want is None or got == want)
+            want = got
+
+
+def test_context_tree_scores_do_not_depend_on_blocks(spark, texts):
+    rows = [(i, t, i % 4 == 1) for i, t in enumerate([*ODD_TEXTS, *list(texts.values())[:80]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    one, many = ({r.doc_id: r for r in context_tree.score(docs.repartition(k)).collect()} for k in (1, 6))
+    assert len(one) == len(many) == len(rows)
+    for i, r in one.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (many[i].n_tokens, many[i].n_known, many[i].train_tokens)
+        assert (r.base_score, r.score) == pytest.approx((many[i].base_score, many[i].score), rel=1e-9)
