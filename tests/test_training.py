@@ -3,16 +3,18 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from countcast.columns import CALENDAR_FEATURES
+from countcast.operators import trees
 from countcast.operators.scoring import score
 from countcast.operators.training import (
     LINEAR_FEATURES, POISSON_POWER, SINGULAR, NotConvergedError, fit_categories, fit_count_models,
 )
 from countcast.operators.trees import fit_pooled_trees, score_trees
 from countcast.sinks.scratch import stored
+from workload.queries import QUERIES
 
 NAMES = ["lag_1", "ma_7"]
 
@@ -79,6 +81,19 @@ def test_pooled_trees(spark):
     assert error < spread and scored.filter("prediction is null or expected < 0").isEmpty()
 
 
+def test_pooled_query_fits_all_rounds_on_all_rows(spark, folder, monkeypatch):
+    """Settings and rows as they reach the regressor, of which a single round is then fitted to save time."""
+    settings, sizes = [], []
+    monkeypatch.setattr(trees, "GBTRegressor", lambda **named: settings.append(named) or GBTRegressor(**{**named, "maxIter": 1}))
+    monkeypatch.setattr(trees, "dealt", lambda rows: sizes.append(rows.count()) or rows)
+    spark.range(40).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01 10:00:00' + make_dt_interval(cast(id % 20 AS int)) AS ts", "id % 4 + 1 AS user_id", "'view' AS event_type",
+    ).write.parquet(f"{folder}/events.parquet")
+    assert QUERIES["train_gbt_pooled"](spark, folder).count() == 4
+    assert [(s["maxIter"], s["maxDepth"], s["minInstancesPerNode"], s["subsamplingRate"]) for s in settings] == [(200, 7, 200, 0.8)]
+    assert sizes == [30 + 29 + 28 + 27]
+
+
 def test_categories_without_a_fit_do_not_stop_the_others(spark):
     """One category with two equal features, one that keeps changing, one with a solution out of bounds; two others settle."""
     data = [(1, i % 9, float(i % 7), float(i % 7)) for i in range(60)]
